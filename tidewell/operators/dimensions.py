@@ -26,18 +26,17 @@ CUSTOMER_ATTRIBUTES = (
 )
 TRACKED = ("profession", "segment")
 
-CUSTOMER_SCHEMA = (
-    "customer_key bigint, customer_id int, first_name string, last_name string, gender string, birth_date date, "
-    "age int, profession string, city string, country string, segment string, customer_status string, "
-    "effective_from date, effective_to date, is_current boolean"
+# The member that facts without a customer point at.
+UNKNOWN_MEMBER = (
+    "cast(-1 as bigint) as customer_key, -1 as customer_id, 'Unknown' as first_name, 'Unknown' as last_name, "
+    "'D' as gender, cast(null as date) as birth_date, cast(null as int) as age, 'Unknown' as profession, "
+    "'Unknown' as city, 'Unknown' as country, 'Unknown' as segment, 'Unknown' as customer_status, "
+    "date '2000-01-01' as effective_from, cast(null as date) as effective_to, true as is_current"
 )
 
 
 def unknown_customer(spark: SparkSession) -> DataFrame:
-    """The member that facts without a customer point at."""
-    text = "Unknown"
-    row = (-1, -1, text, text, "D", None, None, text, text, text, text, text, date(2000, 1, 1), None, True)
-    return spark.createDataFrame([row], CUSTOMER_SCHEMA)
+    return spark.sql(f"select {UNKNOWN_MEMBER}")
 
 
 def tariff_rows(tariff: DataFrame, operator: DataFrame) -> DataFrame:
@@ -111,7 +110,7 @@ def apply_versions(
     entity: str = "customer_id",
     attributes: tuple[str, ...] = CUSTOMER_ATTRIBUTES,
     tracked: tuple[str, ...] = TRACKED,
-    cut: bool = False,
+    cut: bool = True,
 ) -> DataFrame:
     """Type 2: the dimension after ``source`` arrived on ``load_date``.
 

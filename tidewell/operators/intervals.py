@@ -65,9 +65,10 @@ def adjacent_version_gaps(versions: DataFrame, entity: str = "customer_id") -> D
     """Number of closed versions whose next version starts more than a day after their end, per entity."""
     closing = F.when(~F.col("is_current"), F.col("effective_to"))
     spans = versions.groupBy(entity, "effective_from", closing.alias("closed_on")).agg(F.count(F.lit(1)).alias("n_rows"))
-    days = spans.groupBy(entity, "effective_from").agg(F.collect_set(F.struct("closed_on", "n_rows")).alias("_closings"))
-    ahead = Window.partitionBy(entity).orderBy("effective_from")
-    steps = days.withColumn("_next", F.lead("effective_from").over(ahead)).select(entity, "_next", F.inline("_closings"))
+    later = (
+        Window.partitionBy(entity).orderBy(-F.unix_date("effective_from")).rangeBetween(Window.unboundedPreceding, -1)
+    )
+    steps = spans.withColumn("_next", F.min("effective_from").over(later))
     gaps = steps.where(F.col("_next") > F.date_add("closed_on", 1))
     return gaps.groupBy(entity).agg(F.sum("n_rows").alias("violations"))
 

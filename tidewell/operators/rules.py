@@ -94,7 +94,8 @@ def orphan_counts(child: DataFrame, references: list[Reference], parents: dict[s
         ],
     )
     lost = tallies.join(known, ["rule_id", "key"], "left_anti").select("rule_id", "n_rows")
-    zero = child.sparkSession.createDataFrame([(r.rule_id, 0) for r in references], "rule_id string, n_rows bigint")
+    named = ", ".join(f"('{r.rule_id}', 0L)" for r in references)
+    zero = child.sparkSession.sql(f"select * from values {named} as zero(rule_id, n_rows)")
     return lost.unionByName(zero).groupBy("rule_id").agg(F.sum("n_rows").alias("failed_rows"))
 
 
