@@ -35,3 +35,8 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = order + [c for c in df.columns if c not in keys and c not in order]
     best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_best"))
     return best.select(*keys, "_best.*").select(*df.columns)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Hint a broadcast only after counting ``df`` (a written table of narrow rows); else leave a shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -102,6 +102,29 @@ def _compare(existing: DataFrame, source: DataFrame, entity: str, tracked: tuple
     return pairs.withColumn("_new", F.col(f"_{entity}").isNull()).withColumn("_changed", both & differs)
 
 
+def _opening(rows: DataFrame, load_date: date, entity: str, attributes: tuple[str, ...]) -> DataFrame:
+    return rows.select(
+        entity,
+        *attributes,
+        F.lit(load_date).alias("effective_from"),
+        F.lit(None).cast("date").alias("effective_to"),
+        F.lit(True).alias("is_current"),
+    )
+
+
+def first_versions(
+    unknown: DataFrame,
+    source: DataFrame,
+    load_date: date,
+    key: str = "customer_key",
+    entity: str = "customer_id",
+    attributes: tuple[str, ...] = CUSTOMER_ATTRIBUTES,
+) -> DataFrame:
+    """Type 2, first load: :func:`apply_versions` on a dimension that only has its unknown member, without the join."""
+    numbered = number_by_id(_opening(source, load_date, entity, attributes), entity, key)
+    return unknown.unionByName(numbered)
+
+
 def apply_versions(
     existing: DataFrame,
     source: DataFrame,
@@ -126,13 +149,7 @@ def apply_versions(
     closing = F.when(F.col("_changed"), F.date_sub(F.lit(load_date), 1)).otherwise(F.col("_effective_to"))
     replaced = {"effective_to": closing, "is_current": ~F.col("_changed")}
     kept = pairs.where(~F.col("_new")).select(*[replaced.get(c, F.col(f"_{c}")).alias(c) for c in existing.columns])
-    opened = pairs.where(F.col("_new") | F.col("_changed")).select(
-        entity,
-        *attributes,
-        F.lit(load_date).alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
-    )
+    opened = _opening(pairs.where(F.col("_new") | F.col("_changed")), load_date, entity, attributes)
     numbered = number_by_id(opened, entity, key, next_after(existing, key)).select(*existing.columns)
     return existing.where("not is_current").unionByName(kept).unionByName(numbered)
 

@@ -37,11 +37,12 @@ class FixtureTables(Mapping):
             "dim_location": lambda: dimensions.location_rows(self["location"]),
             "dim_event": lambda: dimensions.event_rows(self["event_type"]),
             "dim_channel": lambda: dimensions.channel_rows(self["channel"]),
-            "dim_customer_initial": lambda: dimensions.apply_versions(
+            "dim_customer_initial": lambda: dimensions.first_versions(
                 dimensions.unknown_customer(spark), self["customer_day1"], FIRST_LOAD
             ),
+            "dim_customer_stored": lambda: materialize(self["dim_customer_initial"], "dim_customer"),
             "dim_customer": lambda: dimensions.apply_versions(
-                self["dim_customer_initial"], self["customer_day2"], SECOND_LOAD
+                self["dim_customer_stored"], self["customer_day2"], SECOND_LOAD
             ),
             "usage_rollup": lambda: rollup.usage_rollup(self["valid_cdr"]),
             "fact_usage_events": lambda: rollup.resolve_keys(self["usage_rollup"], self["contract"], self["dim_customer"]),

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.sources.files import read_parquet
+
 
 @dataclass(frozen=True)
 class View:
@@ -22,9 +24,9 @@ class View:
     where: str | None = None
 
     def frame(self, spark: SparkSession, folder: str) -> DataFrame:
-        df = spark.read.parquet(f"{folder}/{self.source}.parquet")
+        df = read_parquet(spark, f"{folder}/{self.source}.parquet")
         for table, condition in self.joins:
-            df = df.join(spark.read.parquet(f"{folder}/{table}.parquet"), F.expr(condition))
+            df = df.join(read_parquet(spark, f"{folder}/{table}.parquet"), F.expr(condition))
         if self.where:
             df = df.where(self.where)
         return df.selectExpr(*[f"{text} as {name}" for name, text in self.columns.items()])
