@@ -27,13 +27,19 @@ def ratio(top: Column, bottom: Column) -> Column:
     return top.cast("double") / F.nullif(bottom.cast("double"), F.lit(0.0))
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Half away from zero on the scaled double, so 3259.135 becomes 3259.14 although its double lies below."""
+    scale = float(10**digits)
+    return F.round(value.cast("double") * scale) / scale
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(part.cast("double") * 100 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
+    return rounded(part.cast("double") * 100 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
 
 
 def mean(value: Column | str, digits: int) -> Column:
     column = as_column(value)
-    return F.round(ratio(F.sum(column), F.count(column)), digits)
+    return rounded(ratio(F.sum(column), F.count(column)), digits)
 
 
 def money(value: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewell.functions.measures import rounded
+
 # Event kinds by key, unit prices (prepaid, otherwise) and the days a monthly allowance is spread over.
 VOICE_EVENTS = (1, 7)
 SMS_EVENT = 2
@@ -30,4 +32,4 @@ def rated_amount(
     data = _over_allowance(megabytes.cast("double"), free_mb) * unit(MEGABYTE_PRICE)
     billing = F.coalesce(fee, F.lit(0)).cast("double") / ALLOWANCE_DAYS
     amount = F.when(event.isin(*VOICE_EVENTS), voice).when(event == DATA_EVENT, data).when(event == BILLING_EVENT, billing)
-    return F.round(F.coalesce(amount, F.lit(0.0)), 4).cast("decimal(12,4)")
+    return rounded(F.coalesce(amount, F.lit(0.0)), 4).cast("decimal(12,4)")

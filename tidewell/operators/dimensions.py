@@ -133,7 +133,7 @@ def apply_versions(
     entity: str = "customer_id",
     attributes: tuple[str, ...] = CUSTOMER_ATTRIBUTES,
     tracked: tuple[str, ...] = TRACKED,
-    cut: bool = True,
+    cut: bool = False,
 ) -> DataFrame:
     """Type 2: the dimension after ``source`` arrived on ``load_date``.
 

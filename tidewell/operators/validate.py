@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.measures import as_column
+from tidewell.functions.measures import as_column, percent
 from tidewell.operators.dedup import mark_repeats
 
 
@@ -92,7 +92,7 @@ def report(
 def pass_rate(validated: DataFrame) -> DataFrame:
     """Totals of a batch and its share of valid rows, 0 for an empty batch."""
     total, valid = F.count(F.lit(1)), F.count_if(F.col("etl_status") == "VALID")
-    rate = F.round(valid.cast("double") * 100 / F.nullif(total, F.lit(0)), 1)
+    rate = percent(valid, total, 1)
     return validated.agg(
         total.alias("total_rows"),
         valid.alias("valid_rows"),

@@ -98,7 +98,7 @@ def load_dimensions(
     if broken:
         raise ValueError(f"customer {broken[0].customer_id} has several current versions")
     customers = dimensions.one_per_entity(sources.customers.select("customer_id", *dimensions.CUSTOMER_ATTRIBUTES))
-    warehouse.overwrite(dimensions.apply_versions(existing, customers, load_date), "dim_customer")
+    warehouse.overwrite(dimensions.apply_versions(existing, customers, load_date, cut=True), "dim_customer")
     for table, source, key in (
         ("dim_tariff", sources.tariffs, "tariff_key"),
         ("dim_location", sources.locations, "location_key"),

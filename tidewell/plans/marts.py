@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.measures import mean, money, percent, ratio, rows, rows_where, whole
+from tidewell.functions.measures import mean, money, percent, ratio, rounded, rows, rows_where, whole
 from tidewell.functions.rating import rated_amount
 from tidewell.operators.intervals import within_validity
 from tidewell.plans.checks import REFERENCES, Tables
@@ -29,7 +29,7 @@ def revenue_by_tariff(t: Tables) -> DataFrame:
             customers.alias("active_customers"),
             money(revenue).alias("total_revenue_eur"),
             mean("revenue_amount", 4).alias("avg_revenue_per_event"),
-            F.round(ratio(revenue, customers), 2).alias("revenue_per_customer"),
+            rounded(ratio(revenue, customers), 2).alias("revenue_per_customer"),
         )
         .orderBy(F.desc("total_revenue_eur"), "tariff_name")
     )
@@ -61,7 +61,7 @@ def data_by_segment(t: Tables) -> DataFrame:
         .groupBy("month_name", "quarter", "segment")
         .agg(
             F.countDistinct("customer_key").alias("customers"),
-            F.round(volume.cast("double") / 1024, 2).alias("total_data_gb"),
+            rounded(volume.cast("double") / 1024, 2).alias("total_data_gb"),
             mean("total_data_volume_mb", 2).alias("avg_data_mb_per_event"),
             whole(F.sum("sms_count")).alias("total_sms"),
         )
@@ -204,7 +204,7 @@ def storage_footprint(t: Tables) -> DataFrame:
             "row_size_bytes",
             "row_count",
             total.alias("total_bytes"),
-            F.round(total.cast("double") / MIB, 2).alias("size_mb"),
+            rounded(total.cast("double") / MIB, 2).alias("size_mb"),
         )
         .orderBy(F.desc("total_bytes"), "table_name")
     )
@@ -232,8 +232,8 @@ def storage_totals(t: Tables) -> DataFrame:
         .select(
             "database_layer",
             "total_bytes",
-            F.round(F.col("total_bytes").cast("double") / MIB, 1).alias("size_mb"),
-            F.round(F.col("total_bytes").cast("double") / GIB, 3).alias("size_gb"),
+            rounded(F.col("total_bytes").cast("double") / MIB, 1).alias("size_mb"),
+            rounded(F.col("total_bytes").cast("double") / GIB, 3).alias("size_gb"),
         )
         .orderBy(F.desc("total_bytes"), "database_layer")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.measures import mean, money, percent, rows, rows_where, whole
+from tidewell.functions.measures import mean, money, percent, rounded, rows, rows_where, whole
 from tidewell.operators.reconcile import count_tables, side_by_side
 from tidewell.operators.rules import check_references
 from tidewell.plans.checks import REFERENCES, Tables
@@ -241,7 +241,7 @@ def usage_kpis(t: Tables) -> DataFrame:
             mean("revenue_amount", 4).alias("avg_per_event_eur"),
             whole(F.sum("call_count")).alias("total_calls"),
             whole(F.sum("sms_count")).alias("total_sms"),
-            F.round(F.sum("total_data_volume_mb").cast("double") / 1024, 1).alias("total_data_gb"),
+            rounded(F.sum("total_data_volume_mb").cast("double") / 1024, 1).alias("total_data_gb"),
             whole(F.sum("event_count")).alias("total_events"),
             F.countDistinct("customer_key").alias("active_customers"),
         )
