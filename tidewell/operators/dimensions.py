@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,21 +93,19 @@ def ambiguous_entities(dimension: DataFrame, entity: str = "customer_id") -> Dat
 
 def _compare(existing: DataFrame, source: DataFrame, entity: str, tracked: tuple[str, ...]) -> DataFrame:
     """Current versions and source rows side by side, with ``_new`` and ``_changed``."""
-    now = existing.where("is_current").select(*[F.col(c).alias(f"_{c}") for c in existing.columns])
-    pairs = now.join(source, now[f"_{entity}"] == source[entity], "full_outer")
-    both = F.col(f"_{entity}").isNotNull() & F.col(entity).isNotNull()
-    differs = reduce(lambda a, b: a | b, [~F.col(f"_{c}").eqNullSafe(F.col(c)) for c in tracked])
-    return pairs.withColumn("_new", F.col(f"_{entity}").isNull()).withColumn("_changed", both & differs)
+    now = existing.where("is_current").selectExpr(*[f"{c} as _{c}" for c in existing.columns])
+    pairs = now.join(source, F.expr(f"_{entity} = {entity}"), "full_outer")
+    differs = " or ".join(f"not (_{c} <=> {c})" for c in tracked)
+    return pairs.selectExpr(
+        "*",
+        f"_{entity} is null as _new",
+        f"_{entity} is not null and {entity} is not null and ({differs}) as _changed",
+    )
 
 
 def _opening(rows: DataFrame, load_date: date, entity: str, attributes: tuple[str, ...]) -> DataFrame:
-    return rows.select(
-        entity,
-        *attributes,
-        F.lit(load_date).alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
-    )
+    opened = (f"date '{load_date}' as effective_from", "cast(null as date) as effective_to", "true as is_current")
+    return rows.selectExpr(entity, *attributes, *opened)
 
 
 def first_versions(
@@ -146,10 +142,12 @@ def apply_versions(
     pairs = _compare(existing, source.select(entity, *attributes), entity, tracked)
     if cut:
         pairs = materialize(pairs, "versions")
-    closing = F.when(F.col("_changed"), F.date_sub(F.lit(load_date), 1)).otherwise(F.col("_effective_to"))
-    replaced = {"effective_to": closing, "is_current": ~F.col("_changed")}
-    kept = pairs.where(~F.col("_new")).select(*[replaced.get(c, F.col(f"_{c}")).alias(c) for c in existing.columns])
-    opened = _opening(pairs.where(F.col("_new") | F.col("_changed")), load_date, entity, attributes)
+    replaced = {
+        "effective_to": f"case when _changed then date_sub(date '{load_date}', 1) else _effective_to end",
+        "is_current": "not _changed",
+    }
+    kept = pairs.where("not _new").selectExpr(*[f"{replaced.get(c, f'_{c}')} as {c}" for c in existing.columns])
+    opened = _opening(pairs.where("_new or _changed"), load_date, entity, attributes)
     numbered = number_by_id(opened, entity, key, next_after(existing, key)).select(*existing.columns)
     return existing.where("not is_current").unionByName(kept).unionByName(numbered)
 

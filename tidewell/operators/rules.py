@@ -5,15 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.measures import as_column
-
 
 @dataclass(frozen=True)
 class Rule:
-    """A counted condition over one table.
+    """A counted condition over one table, in SQL text.
 
     ``condition`` is true for rows that break the rule; ``measure`` replaces it where the count is an
     aggregate of another form. ``passes`` says when the count is acceptable.
@@ -21,15 +19,13 @@ class Rule:
 
     rule_id: str
     name: str
-    condition: str | Column | None = None
+    condition: str | None = None
     severity: str = "FAIL"
-    measure: str | Column | None = None
+    measure: str | None = None
     passes: str = "failed_rows = 0"
 
-    def count(self) -> Column:
-        if self.measure is not None:
-            return as_column(self.measure).cast("bigint")
-        return F.count_if(as_column(self.condition))
+    def count(self) -> str:
+        return f"cast({self.measure} as bigint)" if self.measure else f"count_if({self.condition})"
 
 
 @dataclass(frozen=True)
@@ -44,27 +40,27 @@ class Reference:
     severity: str = "FAIL"
 
 
-def _verdicts(counts: DataFrame, rules: list) -> DataFrame:
-    """Attach name and status to (rule_id, failed_rows)."""
-    name = F.coalesce(*[F.when(F.col("rule_id") == r.rule_id, F.lit(r.name)) for r in rules])
-    ok = F.coalesce(*[F.when(F.col("rule_id") == r.rule_id, F.expr(getattr(r, "passes", "failed_rows = 0"))) for r in rules])
-    bad = F.coalesce(*[F.when(F.col("rule_id") == r.rule_id, F.lit(r.severity)) for r in rules])
-    return counts.select("rule_id", name.alias("check_name"), "failed_rows", F.when(ok, "PASS").otherwise(bad).alias("status"))
+def _verdict(rule: Rule | Reference, failed: str) -> str:
+    """Text of the result row of one rule whose count is in column ``failed``."""
+    passes = getattr(rule, "passes", "failed_rows = 0").replace("failed_rows", failed)
+    status = f"case when {passes} then 'PASS' else '{rule.severity}' end"
+    return (
+        f"named_struct('rule_id', '{rule.rule_id}', 'check_name', '{rule.name}', "
+        f"'failed_rows', {failed}, 'status', {status})"
+    )
 
 
 def check_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Evaluate all ``rules`` in one scan of ``df``; one output row per rule."""
-    counted = df.agg(*[rule.count().alias(f"_{i}") for i, rule in enumerate(rules)])
-    lines = F.array(
-        *[F.struct(F.lit(rule.rule_id).alias("rule_id"), F.col(f"_{i}").alias("failed_rows")) for i, rule in enumerate(rules)]
-    )
-    return _verdicts(counted.select(F.inline(lines)), rules)
+    counted = df.selectExpr(*[f"{rule.count()} as n{i}" for i, rule in enumerate(rules)])
+    lines = ", ".join(_verdict(rule, f"n{i}") for i, rule in enumerate(rules))
+    return counted.selectExpr(f"inline(array({lines}))")
 
 
 def check_total(counted: DataFrame, rule: Rule) -> DataFrame:
     """Wrap a frame whose rows are the violations (or whose ``violations`` column counts them)."""
-    total = F.coalesce(F.sum("violations"), F.lit(0)) if "violations" in counted.columns else F.count(F.lit(1))
-    return _verdicts(counted.agg(total.cast("bigint").alias("failed_rows")).withColumn("rule_id", F.lit(rule.rule_id)), [rule])
+    total = "coalesce(sum(violations), 0)" if "violations" in counted.columns else "count(*)"
+    return counted.selectExpr(f"cast({total} as bigint) as n").selectExpr(f"inline(array({_verdict(rule, 'n')}))")
 
 
 def repeated_groups(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,18 +74,12 @@ def orphan_counts(child: DataFrame, references: list[Reference], parents: dict[s
     Child rows are counted per (rule, key) before anything is shuffled, so a hot or missing key travels as
     one row per task; the anti-join then runs on distinct keys. A NULL key has no parent.
     """
-    used = [
-        F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(r.column).cast("bigint").alias("key")) for r in references
-    ]
-    if len(used) == 1:
-        pairs = child.select(used[0].alias("pair")).select("pair.*")
-    else:
-        pairs = child.select(F.inline(F.array(*used)))
-    tallies = pairs.groupBy("rule_id", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    pairs = ", ".join(f"named_struct('rule_id', '{r.rule_id}', 'key', cast({r.column} as bigint))" for r in references)
+    tallies = child.selectExpr(f"inline(array({pairs}))").groupBy("rule_id", "key").agg(F.count(F.lit(1)).alias("n_rows"))
     known = reduce(
         DataFrame.unionByName,
         [
-            parents[r.parent].select(F.lit(r.rule_id).alias("rule_id"), F.col(r.parent_column).cast("bigint").alias("key"))
+            parents[r.parent].selectExpr(f"'{r.rule_id}' as rule_id", f"cast({r.parent_column} as bigint) as key")
             for r in references
         ],
     )
@@ -100,7 +90,9 @@ def orphan_counts(child: DataFrame, references: list[Reference], parents: dict[s
 
 
 def check_references(child: DataFrame, references: list[Reference], parents: dict[str, DataFrame]) -> DataFrame:
-    return _verdicts(orphan_counts(child, references, parents), references)
+    counts = orphan_counts(child, references, parents)
+    lines = " ".join(f"when '{r.rule_id}' then {_verdict(r, 'failed_rows')}" for r in references)
+    return counts.selectExpr(f"case rule_id {lines} end as line").select("line.*")
 
 
 def summarize(checks: DataFrame) -> DataFrame:
