@@ -32,8 +32,8 @@ def day_number(day: Column) -> Column:
 
 def time_key(moment: Column) -> Column:
     """yyyymmddhh of the six-hour bucket that holds ``moment``."""
-    bucket = F.floor(F.hour(moment) / 6).cast("int") * 6
-    return (day_number(moment) * 100 + bucket).cast("int")
+    hour = F.hour(moment)
+    return day_number(moment) * 100 + (hour - hour % 6)
 
 
 def _attributes(days: DataFrame, holidays: tuple[date, ...]) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import materialize, planner_broadcasts
+
 
 def repeated_keys(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     """Keys that occur more than once, with the sequence of their first row. Combined map-side."""
@@ -40,3 +42,13 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Hint a broadcast only after counting ``df`` (a written table of narrow rows); else leave a shuffle join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def counted_repeats(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
+    """:func:`repeated_keys`, broadcast where that is known to be safe.
+
+    The aggregate moves two narrow columns. If it shows few enough repeated keys, the join needs no shuffle of
+    the full rows at all; otherwise the shuffle join of :func:`mark_repeats` takes over.
+    """
+    repeats = repeated_keys(df, keys, sequence)
+    return repeats if planner_broadcasts(repeats) else broadcast_if_small(materialize(repeats, "repeats"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.functions.calendar import calendar_covering
 from tidewell.operators import dimensions, rollup
+from tidewell.operators.dedup import counted_repeats
 from tidewell.operators.validate import stage, validate
 from tidewell.plans.checks import Bounds
 from tidewell.session import materialize
@@ -30,7 +31,9 @@ class FixtureTables(Mapping):
         self._built: dict[str, DataFrame] = {}
         self._derived: dict[str, Callable[[], DataFrame]] = {
             "stg_pending": lambda: stage(self["cdr"], STAGE_DATE),
-            "stg_cdr": lambda: validate(self["stg_pending"]),
+            "stg_cdr": lambda: validate(
+                self["stg_pending"], repeats=counted_repeats(self["cdr"], ["cdr_id"], "src_seq")
+            ),
             "valid_cdr": lambda: self["stg_cdr"].where("etl_status = 'VALID'"),
             "dim_time": lambda: calendar_covering(self["cdr"], "event_datetime"),
             "dim_tariff": lambda: dimensions.tariff_rows(self["tariff"], self["operator"]),

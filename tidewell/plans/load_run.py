@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.calendar import HOLIDAYS_2024, calendar
 from tidewell.operators import dimensions, rollup
-from tidewell.operators.dedup import broadcast_if_small, repeated_keys
+from tidewell.operators.dedup import counted_repeats
 from tidewell.operators.keys import next_after, number_sorted
 from tidewell.operators.rules import summarize
 from tidewell.operators.validate import stage, validate
@@ -80,7 +80,7 @@ def load_staging(warehouse: Warehouse, batch: DataFrame, load_date: date) -> Non
         batch = batch.withColumn("src_seq", F.monotonically_increasing_id())
     warehouse.overwrite(stage(batch, load_date), "stg_cdr")
     staged = warehouse.read("stg_cdr")
-    repeats = broadcast_if_small(materialize(repeated_keys(staged, ["cdr_id"], "src_seq"), "repeats"))
+    repeats = counted_repeats(staged, ["cdr_id"], "src_seq")
     warehouse.overwrite(validate(staged, repeats=repeats), "stg_cdr")
 
 

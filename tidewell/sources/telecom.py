@@ -199,15 +199,15 @@ VIEWS: dict[str, View] = {
             ),
             "location_id": (
                 "cast(case when event_id % 53 = 0 then null when event_id % 59 = 0 then -7 "
-                "when event_id % 4 = 0 then event_id % 10 else floor(user_id * 2 / 3) end as int)"
+                "when event_id % 4 = 0 then event_id % 10 else user_id >> 1 end as int)"
             ),
-            "cost": "cast(cast(value as decimal(10,4)) - 0.05 as decimal(10,4))",
+            "cost": "cast(value - 0.05 as decimal(10,4))",
             "call_type": (
                 "case when event_type = 'click' then 'Outgoing' when event_id % 503 = 0 then 'Bogus' "
                 "when event_id % 2 = 0 then 'Incoming' else 'N/A' end"
             ),
             "fraud_flag": "event_id % 29 = 0",
-            "fraud_score": "cast(case when event_id % 307 = 1 then null else (event_id * 37 % 103) * 0.01 end as decimal(5,2))",
+            "fraud_score": "cast(case when event_id % 307 = 1 then null else cast(event_id * 37 % 103 as double) / 100 end as decimal(5,2))",
             "fraud_scenario": "case when event_id % 29 = 0 then 'S' || cast(event_id % 5 as varchar(4)) else null end",
         },
     ),
