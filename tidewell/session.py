@@ -40,15 +40,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; ``options`` are those of the parquet writer.
 
     Used where one intermediate feeds several branches or where a value must not change on re-execution.
     The written table survives executor loss, and its real file size lets the planner choose join sides.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
