@@ -190,10 +190,11 @@ MAIN: dict[str, str] = {
         cast({REJECTED} as bigint) as rejected,
         count(*) filter (etl_status = 'VALID' and location_id is null) as valid_without_location,
         (select count(*) from w_rollup) as fact_rows from w_stg""",
-    "fk_verify": """select 'fact -> dim_time orphans' as check_name, count(*) as n from w_fact f
-        where not exists (select 1 from w_time t where t.time_key = f.time_key)
-        union all select 'fact -> dim_customer orphans', count(*) from w_fact f
-        where not exists (select 1 from w_customer c where c.customer_key = f.customer_key)""",
+    "fk_verify": """with found as (select count(*) as facts,
+            count(*) filter (time_key in (select time_key from w_time where time_key is not null)) as timed,
+            count(*) filter (customer_key in (select customer_key from w_customer where customer_key is not null)) as named from w_fact)
+        select unnest(['fact -> dim_time orphans', 'fact -> dim_customer orphans']) as check_name,
+            unnest([facts - timed, facts - named]) as n from found""",
     "q1_revenue_by_tariff": f"""select tariff_name, tariff_type, operator_name, count(distinct customer_key) as active_customers,
         cast(sum(revenue_amount) as decimal(18,2)) as total_revenue_eur, {_mean('revenue_amount', 4)} as avg_revenue_per_event,
         round(cast(sum(revenue_amount) as double) / nullif(count(distinct customer_key), 0), 2) as revenue_per_customer
@@ -219,13 +220,13 @@ MAIN: dict[str, str] = {
         from w_fact join w_tariff using (tariff_key) group by tariff_name order by revenue desc, tariff_name limit 5""",
     "sample_fraud_bands": """select case when fraud_score < 0.3 then 'Low' when fraud_score < 0.6 then 'Medium'
         when fraud_score < 0.8 then 'High' else 'Critical' end as risk_level, count(*) as n_events from w_fact group by 1""",
-    "rate_usage": """select src_seq, cdr_id, e.contract_id, event_key, t.tariff_id, cast(round(case
+    "rate_usage": """select src_seq, cdr_id, e.contract_id, event_key, c.tariff_id, cast(round(case
         when event_key in (1, 7) then greatest(0.0::double, cast(duration_sec as double) / 60 - cast(coalesce(free_minutes, 0) as double) / 30)
             * case when tariff_type = 'Prepaid' then 0.10::double else 0.05::double end
         when event_key = 3 then greatest(0.0::double, cast(data_volume_mb as double) - cast(coalesce(t.data_mb, 0) as double) / 30)
             * case when tariff_type = 'Prepaid' then 0.005::double else 0.002::double end
         when event_key = 4 then cast(coalesce(monthly_fee, 0) as double) / 30 else 0 end, 4) as decimal(12,4)) as rated_amount
-        from v_cdr e join v_contract c on c.contract_id = e.contract_id join v_tariff t on t.tariff_id = c.tariff_id""",
+        from v_cdr e join v_contract c on c.contract_id = e.contract_id left join v_tariff t on t.tariff_id = c.tariff_id""",
     "active_contract_join": """select src_seq, cdr_id, e.contract_id, tariff_id, event_datetime, start_date, end_date
         from v_cdr e join v_contract c on c.contract_id = e.contract_id
         and cast(event_datetime as date) between start_date and coalesce(end_date, date '9999-12-31')""",
@@ -357,6 +358,14 @@ ROW_CHECKS: dict[str, list[tuple[str, str, str, str]]] = {
 }
 
 # (rule, name, child, column, parent, parent column)
+FOREIGN_KEYS = [
+    ("FK-01", "customer", "region_id", "region", "region_id"),
+    ("FK-02", "contract", "customer_id", "customer", "customer_id"),
+    ("FK-03", "cdr", "event_key", "event_type", "event_key"),
+    ("FK-04", "cdr", "location_id", "location", "location_id"),
+    ("FK-05", "payment", "contract_id", "contract", "contract_id"),
+]
+
 REFERENCES = [
     ("RI-01", "FACT → DIM_CUSTOMER", "w_fact", "customer_key", "w_customer", "customer_key"),
     ("RI-02", "FACT → DIM_TIME", "w_fact", "time_key", "w_time", "time_key"),
@@ -435,8 +444,9 @@ def checks(dimension: str = "w_customer") -> dict[str, str]:
         "BR-15",
         "SCD2 version gaps detected",
         "count(*)",
-        f"{dimension} a join {dimension} b on b.customer_id = a.customer_id and b.effective_from > a.effective_from "
-        "and a.is_current = false where a.effective_to is not null and b.effective_from > a.effective_to + 1",
+        "(select unnest(starts) as other_start, greatest(effective_from, effective_to + 1) as latest from (select effective_from, "
+        f"effective_to, is_current, list(effective_from) over (partition by customer_id) as starts from {dimension}) "
+        "where not is_current and effective_to is not null) where other_start > latest",
         "WARN",
     )
     return out
@@ -463,6 +473,10 @@ def _suites() -> dict[str, str]:
     verdict = "select rule_id, check_name, failed_rows, case when failed_rows = 0 then 'PASS' else {bad} end as status from ({rows})"
     return {
         "check_suite": union(sorted(each)),
+        "fk_suite": " union all ".join(
+            _count(rule, f"{child}.{column} -> {parent}", "count(*)", f"v_{child} where {column} not in (select {key} from v_{parent})", "FAIL")
+            for rule, child, column, parent, key in FOREIGN_KEYS
+        ),
         "check_suite_summary": f"""select count(*) as total, count(*) filter (status = 'PASS') as passed,
             count(*) filter (status = 'FAIL') as failed, count(*) filter (status = 'WARN') as warned,
             case when count(*) filter (status = 'FAIL') = 0 then 'PASS' else 'FAIL' end as overall from ({union(sorted(each))})""",

@@ -47,6 +47,7 @@ def test_load_repeat_and_overlap(warehouse, spark):
     counted = warehouse.read("fact_usage_events").agg(F.sum("event_count")).collect()[0][0]
     assert counted == audit["valid"] - audit["valid_without_location"]
     assert warehouse.count("dim_time") == 1464
+    assert audit["orphans"] == {"fact -> dim_time orphans": 0, "fact -> dim_customer orphans": 0} and audit["suite"]["total"] == 36
 
     before, people = facts(warehouse), warehouse.count("dim_customer")
     again = load_run.run(warehouse, *WEEK, run_id="w1 again")
@@ -94,12 +95,30 @@ def test_rejects_rows_outside_the_window(warehouse):
         warehouse.replace_days(fact, "fact_usage_events", 20240101, 20240131)
 
 
+def test_a_load_of_another_year_extends_the_calendar(warehouse):
+    before = warehouse.read("dim_time").count()
+    usage = warehouse.read("cdr").where("event_datetime is not null")
+    moved = usage.withColumn("event_datetime", F.expr("event_datetime + interval 1 year")).withColumn("cdr_id", F.expr("cdr_id + 1000000"))
+    warehouse.append(moved, "cdr")
+    audit = load_run.run(warehouse, date(2025, 1, 8), date(2025, 1, 14), run_id="w1")  # a run id that was used before
+    assert audit["first_day"] == date(2025, 1, 8) and audit["fact_rows"] > 0
+    assert set(audit["orphans"].values()) == {0}
+    assert warehouse.read("dim_time").count() == before + 1460
+    easter_monday = warehouse.read("dim_time").where("date_val = date '2025-04-21' and holiday_flag").count()
+    assert easter_monday == 4
+    tables = load_run.WarehouseTables(warehouse)
+    calls = marts.calls_by_daypart(tables).agg(F.sum("total_calls")).collect()[0][0]
+    assert calls == warehouse.read("fact_usage_events").agg(F.sum("call_count")).collect()[0][0]
+    with pytest.raises(ValueError, match="2031"):
+        load_run.extend_calendar(warehouse, date(2031, 1, 1), date(2031, 1, 2), lambda year: ())
+
+
 def test_several_current_versions_stop_the_load(warehouse):
     kept = warehouse.read("dim_customer").collect(), warehouse.read("dim_customer").schema
     twice = warehouse.read("dim_customer").where("customer_id = 5")
     warehouse.append(twice, "dim_customer")
     with pytest.raises(ValueError, match="customer 5"):
-        load_run.load_dimensions(warehouse, load_run.sources_of(warehouse), date(2024, 2, 1), (date(2024, 1, 1), date(2024, 1, 2)))
+        load_run.load_dimensions(warehouse, load_run.sources_of(warehouse), date(2024, 2, 1), WEEK)
     warehouse.overwrite(warehouse.spark.createDataFrame(*kept), "dim_customer")
 
 

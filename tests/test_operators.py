@@ -8,9 +8,9 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.functions.calendar import calendar, time_key
+from tidewell.functions.calendar import HOLIDAYS_2024, calendar, easter_sunday, holidays_of, time_key
 from tidewell.operators import dimensions, intervals, rollup
-from tidewell.operators.dedup import broadcast_if_small, keep_first, mark_repeats
+from tidewell.operators.dedup import keep_first, mark_repeats
 from tidewell.operators.keys import next_after, number_by_id, number_sorted
 from tidewell.operators.rules import Reference, Rule, check_references, check_rows, summarize
 from tidewell.operators.validate import pass_rate, report, split, stage, validate
@@ -107,10 +107,26 @@ def test_keep_first_collapses_exact_copies(spark):
     assert {tuple(r) for r in keep_first(rows, ["k"], ["o"]).collect()} == {(1, 1, "z"), (None, 3, "c")}
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small, large = broadcast_if_small(spark.range(10), 10), broadcast_if_small(spark.range(11), 10)
-    assert "Hint broadcast" in small._jdf.queryExecution().logical().toString()
-    assert "Hint" not in large._jdf.queryExecution().logical().toString()
+def test_a_hot_key_is_marked_and_reduced_alike_without_broadcasts(spark):
+    rows = spark.range(3000).selectExpr("id as seq", "case when id % 3 = 0 then 7 else id end as k", "id % 5 as v")
+    expected = {(r.seq, r.late) for r in mark_repeats(rows, ["k"], "seq", "late").collect()}
+    assert sum(late for _, late in expected) == 1000
+    kept = {tuple(r) for r in keep_first(rows, ["k"], ["v", "seq"]).collect()}
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {(r.seq, r.late) for r in mark_repeats(rows, ["k"], "seq", "late").collect()} == expected
+        assert {tuple(r) for r in keep_first(rows, ["k"], ["v", "seq"]).collect()} == kept
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len(kept) == 2000 and (0, 7, 0) in kept
+    plan = keep_first(rows, ["k"], ["v"])._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_holiday_rules_give_the_fixed_list():
+    assert holidays_of(2024) == HOLIDAYS_2024
+    assert [easter_sunday(year) for year in (2019, 2025, 2038)] == [date(2019, 4, 21), date(2025, 4, 20), date(2038, 4, 25)]
 
 
 def test_keys_are_consecutive(spark):

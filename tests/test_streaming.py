@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,15 +33,56 @@ def finish(query):
     assert query.exception() is None
 
 
-def test_quarantine_equals_batch(spark, cdr_files, tmp_path):
+def test_quarantine_equals_batch_with_one_file_per_batch(spark, cdr_files, tmp_path):
     paths = [str(tmp_path / name) for name in ("valid", "rejected", "state")]
-    finish(usage.quarantine(stream(spark, cdr_files, 10), *paths))
-    valid, rejected = (spark.read.parquet(path) for path in paths[:2])
+    run = lambda: usage.quarantine(stream(spark, cdr_files), *paths, date(2024, 1, 31), "s1")
+    finish(run())
     expected = validate(cdr_files[1])
-    assert valid.count() == expected.where("etl_status = 'VALID'").count()
-    assert rejected.count() == expected.where("etl_status = 'REJECTED'").count()
-    finish(usage.quarantine(stream(spark, cdr_files, 10), *paths))  # nothing new: nothing added
-    assert valid.count() + rejected.count() == cdr_files[1].count()
+    rows = lambda df: sorted(row[0] for row in df.select("src_seq").collect())
+    for status, path in zip(("VALID", "REJECTED"), paths, strict=False):
+        stored = spark.read.parquet(path)
+        assert rows(stored) == rows(expected.where(F.col("etl_status") == status))
+        assert stored.select("etl_load_date").distinct().collect() == [(date(2024, 1, 31),)]
+    finish(run())  # nothing new: nothing added
+    assert sum(spark.read.parquet(path).count() for path in paths[:2]) == cdr_files[1].count()
+
+
+def test_copies_in_other_batches_are_rejected(spark, tmp_path):
+    schema = FixtureTables(spark, "/root/testdata/sf0.001")["cdr"].schema
+    one = FixtureTables(spark, "/root/testdata/sf0.001")["valid_cdr"].select(*schema.names).limit(1).collect()[0].asDict()
+    folder = str(tmp_path / "in")
+    for place in range(3):
+        row = one | {"src_seq": place, "event_datetime": one["event_datetime"] + timedelta(days=place)}
+        spark.createDataFrame([tuple(row[name] for name in schema.names)], schema).coalesce(1).write.mode("append").parquet(folder)
+    paths = [str(tmp_path / name) for name in ("valid", "rejected", "state")]
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    finish(usage.quarantine(source, *paths, date(2024, 1, 31), "s1"))
+    assert [spark.read.parquet(path).count() for path in paths[:2]] == [1, 2]
+    again = usage.quarantine(source, *paths[:2], str(tmp_path / "state 2"), date(2024, 1, 31), "s2")
+    finish(again)  # a new checkpoint keeps what an older one stored
+    assert [spark.read.parquet(path).count() for path in paths[:2]] == [1, 5]
+
+
+def test_late_and_bad_rows_are_counted(spark, cdr_files, tmp_path):
+    rows = stream(spark, cdr_files)
+    good = usage.without_copies(usage.passing(usage.timed(rows)))
+    query = usage.append_files(usage.rollup_windows(good), str(tmp_path / "out"), str(tmp_path / "state"))
+    finish(query)
+    assert usage.late_rows(query) == 0
+    bad = usage.append_files(usage.failing(rows), str(tmp_path / "bad"), str(tmp_path / "bad state"))
+    finish(bad)
+    known = cdr_files[1].count() - usage.passing(cdr_files[1]).count()
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == known > 0
+
+    folder, schema = str(tmp_path / "in"), cdr_files[1].schema
+    usable = usage.passing(cdr_files[1]).where("location_id is not null").orderBy(F.desc("event_datetime"))
+    newest, oldest = usable.limit(1), usable.orderBy("event_datetime").limit(1)
+    for part in (newest, oldest, oldest.withColumn("cdr_id", F.col("cdr_id") + 1000000)):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    query = usage.append_files(usage.rollup_windows(usage.timed(files)), str(tmp_path / "out 2"), str(tmp_path / "state 2"))
+    finish(query)
+    assert usage.late_rows(query) >= 1
 
 
 def test_rollup_equals_batch_for_closed_windows(spark, cdr_files, tmp_path):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +22,29 @@ HOLIDAYS_2024 = (
     date(2024, 12, 25),
     date(2024, 12, 26),
 )
+# Holidays on one date each year (month, day), and those at a distance in days from Easter Sunday.
+YEARLY_HOLIDAYS = ((1, 1), (1, 6), (5, 1), (8, 15), (10, 26), (11, 1), (12, 8), (12, 25), (12, 26))
+EASTER_HOLIDAYS = (1, 39, 50)
 DAYPARTS = {0: "Night", 6: "Morning", 12: "Afternoon", 18: "Evening"}
 
 
+def easter_sunday(year: int) -> date:
+    """The Sunday after the first ecclesiastical full moon from 21 March on (Gregorian calendar)."""
+    century = year // 100
+    skipped, corrected = century - century // 4, (8 * century + 13) // 25
+    moon_age = (19 * (year % 19) + skipped - corrected + 15) % 30
+    moon_age -= moon_age == 29 or (moon_age == 28 and year % 19 > 10)
+    full_moon = date(year, 3, 21) + timedelta(days=moon_age)
+    return full_moon + timedelta(days=7 - (full_moon.weekday() + 1) % 7)
+
+
+def holidays_of(year: int) -> tuple[date, ...]:
+    """Public holidays of a year by the same rules that give :data:`HOLIDAYS_2024`."""
+    easter = easter_sunday(year)
+    movable = [easter + timedelta(days=days) for days in EASTER_HOLIDAYS]
+    return tuple(sorted([date(year, *day) for day in YEARLY_HOLIDAYS] + movable))
+
+
 def day_number(day: Column) -> Column:
     """yyyymmdd as an integer."""
     return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import materialize, planner_broadcasts
+
+def _same_key(df: DataFrame, other: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(other[f"_{k}"]) for k in keys])
 
 
 def repeated_keys(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
@@ -20,35 +22,28 @@ def repeated_keys(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     )
 
 
-def mark_repeats(df: DataFrame, keys: list[str], sequence: str, flag: str, repeats: DataFrame | None = None) -> DataFrame:
+def mark_repeats(df: DataFrame, keys: list[str], sequence: str, flag: str) -> DataFrame:
     """Flag every row but the first of its key; NULL keys are equal. ``sequence`` must be unique.
 
-    Only keys with copies reach the join, so its right side is as small as the data is clean. A hot key is
-    never gathered: its rows stay on the streamed side, which adaptive execution splits.
+    Only keys with copies reach the join, so its right side is as small as the data is clean. How the join runs is left to
+    adaptive execution, which knows the size of that side. A hot key is never gathered: its rows stay on the
+    streamed side, which adaptive execution splits.
     """
-    repeats = repeated_keys(df, keys, sequence) if repeats is None else repeats
-    same_key = reduce(lambda a, b: a & b, [df[k].eqNullSafe(repeats[f"_{k}"]) for k in keys])
+    repeats = repeated_keys(df, keys, sequence)
     later = F.coalesce(F.col(sequence) > F.col("_first"), F.lit(False))
-    return df.join(repeats, same_key, "left").withColumn(flag, later).drop("_first", *[f"_{k}" for k in keys])
+    joined = df.join(repeats, _same_key(df, repeats, keys), "left")
+    return joined.withColumn(flag, later).drop("_first", *[f"_{k}" for k in keys])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the least by ``order``, then by the remaining columns. Combined map-side."""
-    rest = order + [c for c in df.columns if c not in keys and c not in order]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_best"))
-    return best.select(*keys, "_best.*").select(*df.columns)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting ``df`` (a written table of narrow rows); else leave a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """One row per key: the least by ``order``, then by the remaining columns.
 
-
-def counted_repeats(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """:func:`repeated_keys`, broadcast where that is known to be safe.
-
-    The aggregate moves two narrow columns. If it shows few enough repeated keys, the join needs no shuffle of
-    the full rows at all; otherwise the shuffle join of :func:`mark_repeats` takes over.
+    Repeated keys are found on the key columns alone. Only their rows are ranked, and each task hands on its first row of a
+    key, so a hot key is a row per task after the shuffle.
     """
-    repeats = repeated_keys(df, keys, sequence)
-    return repeats if planner_broadcasts(repeats) else broadcast_if_small(materialize(repeats, "repeats"))
+    rest = order + [c for c in df.columns if c not in keys and c not in order]
+    copies = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    marked = df.join(copies, _same_key(df, copies, keys), "left")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
+    first = marked.where("_copies is not null").select(*df.columns).withColumn("_place", place).where("_place = 1")
+    return marked.where("_copies is null").select(*df.columns).unionByName(first.drop("_place"))

@@ -68,14 +68,18 @@ def repeated_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
-def orphan_counts(child: DataFrame, references: list[Reference], parents: dict[str, DataFrame]) -> DataFrame:
+def orphan_counts(
+    child: DataFrame, references: list[Reference], parents: dict[str, DataFrame], nulls_are_lost: bool = True
+) -> DataFrame:
     """(rule_id, failed_rows) for every reference of one child table, in one scan of it.
 
     Child rows are counted per (rule, key) before anything is shuffled, so a hot or missing key travels as
-    one row per task; the anti-join then runs on distinct keys. A NULL key has no parent.
+    one row per task; the anti-join then runs on distinct keys. A NULL key has no parent, unless nulls are allowed.
     """
     pairs = ", ".join(f"named_struct('rule_id', '{r.rule_id}', 'key', cast({r.column} as bigint))" for r in references)
     tallies = child.selectExpr(f"inline(array({pairs}))").groupBy("rule_id", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    if not nulls_are_lost:
+        tallies = tallies.where("key is not null")
     known = reduce(
         DataFrame.unionByName,
         [
@@ -89,8 +93,10 @@ def orphan_counts(child: DataFrame, references: list[Reference], parents: dict[s
     return lost.unionByName(zero).groupBy("rule_id").agg(F.sum("n_rows").alias("failed_rows"))
 
 
-def check_references(child: DataFrame, references: list[Reference], parents: dict[str, DataFrame]) -> DataFrame:
-    counts = orphan_counts(child, references, parents)
+def check_references(
+    child: DataFrame, references: list[Reference], parents: dict[str, DataFrame], nulls_are_lost: bool = True
+) -> DataFrame:
+    counts = orphan_counts(child, references, parents, nulls_are_lost)
     lines = " ".join(f"when '{r.rule_id}' then {_verdict(r, 'failed_rows')}" for r in references)
     return counts.selectExpr(f"case rule_id {lines} end as line").select("line.*")
 

@@ -40,22 +40,16 @@ def stage(batch: DataFrame, load_date: date) -> DataFrame:
     return batch.withColumn("etl_load_date", F.lit(load_date)).withColumn("etl_status", F.lit("PENDING"))
 
 
-def _flagged(staged: DataFrame, key: str, sequence: str, repeats: DataFrame | None) -> DataFrame:
-    # The copy test looks at all rows, also those that fail another test.
-    return mark_repeats(staged, [key], sequence, "_repeat", repeats)
-
-
 def validate(
     staged: DataFrame,
     tests: tuple[RowTest, ...] = USAGE_TESTS,
     key: str = "cdr_id",
     sequence: str = "src_seq",
-    repeats: DataFrame | None = None,
 ) -> DataFrame:
-    """Set ``etl_status`` on every staged row."""
+    """Set ``etl_status`` on every staged row. The copy test looks at all rows, also those that fail another test."""
     good = reduce(lambda a, b: a & b, [test.column() for test in tests]) & ~F.col("_repeat")
     status = F.when(good, "VALID").otherwise("REJECTED")
-    return _flagged(staged, key, sequence, repeats).withColumn("etl_status", status).drop("_repeat")
+    return mark_repeats(staged, [key], sequence, "_repeat").withColumn("etl_status", status).drop("_repeat")
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,25 +62,17 @@ def report(
     tests: tuple[RowTest, ...] = USAGE_TESTS,
     key: str = "cdr_id",
 ) -> DataFrame:
-    """Rows passed and failed per test, in one pass; copies are counted per key before the shuffle."""
+    """Rows passed and failed per test. Row tests share one pass without a shuffle; copies are counted on the key alone."""
+
+    def line(name: str, ok: Column) -> Column:
+        return F.struct(F.lit(name).alias("rule"), ok.alias("passed"), (F.col("_rows") - ok).alias("failed"))
+
     passed = [F.count_if(test.column()).alias(f"_{i}") for i, test in enumerate(tests)]
-    keyed = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *passed)
-    total = keyed.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"),
-        F.count(F.lit(1)).alias("_keys"),
-        *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(tests))],
-    )
-    lines = [(test.name, F.col(f"_{i}")) for i, test in enumerate(tests)] + [(REPEAT_TEST, F.col("_keys"))]
-    return total.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("rule"), ok.alias("passed"), (F.col("_rows") - ok).alias("failed"))
-                    for name, ok in lines
-                ]
-            )
-        )
-    )
+    counted = staged.agg(F.count(F.lit(1)).alias("_rows"), *passed)
+    by_test = counted.select(F.inline(F.array(*[line(test.name, F.col(f"_{i}")) for i, test in enumerate(tests)])))
+    keyed = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    keys = keyed.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("_rows"), F.count(F.lit(1)).alias("_keys"))
+    return by_test.unionByName(keys.select(F.inline(F.array(line(REPEAT_TEST, F.col("_keys"))))))
 
 
 def pass_rate(validated: DataFrame) -> DataFrame:

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.functions.calendar import calendar_covering
 from tidewell.operators import dimensions, rollup
-from tidewell.operators.dedup import counted_repeats
 from tidewell.operators.validate import stage, validate
 from tidewell.plans.checks import Bounds
 from tidewell.session import materialize
+from tidewell.sources.files import read_parquet
 from tidewell.sources.telecom import VIEWS
 
 FIRST_LOAD = date(2024, 1, 1)
@@ -29,11 +30,10 @@ class FixtureTables(Mapping):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._built: dict[str, DataFrame] = {}
+        self._read = cache(lambda path: read_parquet(spark, path))  # one look at the footers per set of tables
         self._derived: dict[str, Callable[[], DataFrame]] = {
             "stg_pending": lambda: stage(self["cdr"], STAGE_DATE),
-            "stg_cdr": lambda: validate(
-                self["stg_pending"], repeats=counted_repeats(self["cdr"], ["cdr_id"], "src_seq")
-            ),
+            "stg_cdr": lambda: validate(self["stg_pending"]),
             "valid_cdr": lambda: self["stg_cdr"].where("etl_status = 'VALID'"),
             "dim_time": lambda: calendar_covering(self["cdr"], "event_datetime"),
             "dim_tariff": lambda: dimensions.tariff_rows(self["tariff"], self["operator"]),
@@ -55,7 +55,7 @@ class FixtureTables(Mapping):
             if name in self._derived:
                 self._built[name] = self._derived[name]()
             else:
-                self._built[name] = VIEWS[f"v_{name}"].frame(self.spark, self.folder)
+                self._built[name] = VIEWS[f"v_{name}"].frame(self._read, self.folder)
         return self._built[name]
 
     def __iter__(self) -> Iterator[str]:

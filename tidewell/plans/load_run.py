@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.calendar import HOLIDAYS_2024, calendar
+from tidewell.functions.calendar import calendar, holidays_of
 from tidewell.operators import dimensions, rollup
-from tidewell.operators.dedup import counted_repeats
 from tidewell.operators.keys import next_after, number_sorted
 from tidewell.operators.rules import summarize
 from tidewell.operators.validate import stage, validate
@@ -80,19 +79,31 @@ def load_staging(warehouse: Warehouse, batch: DataFrame, load_date: date) -> Non
         batch = batch.withColumn("src_seq", F.monotonically_increasing_id())
     warehouse.overwrite(stage(batch, load_date), "stg_cdr")
     staged = warehouse.read("stg_cdr")
-    repeats = counted_repeats(staged, ["cdr_id"], "src_seq")
-    warehouse.overwrite(validate(staged, repeats=repeats), "stg_cdr")
+    warehouse.overwrite(validate(staged), "stg_cdr")
+
+
+def extend_calendar(
+    warehouse: Warehouse, first: date, last: date, holidays: Callable[[int], Iterable[date]] = holidays_of
+) -> list[int]:
+    """Add the whole years of ``first``..``last`` that ``dim_time`` lacks; rows that exist stay. Returns the years added."""
+    there = {row[0] for row in warehouse.read("dim_time").select("year").distinct().collect()}
+    missing = [year for year in range(first.year, last.year + 1) if year not in there]
+    for year in missing:
+        named = tuple(holidays(year))
+        if not named:
+            raise ValueError(f"no holidays are given for {year}")
+        warehouse.append(calendar(warehouse.spark, date(year, 1, 1), date(year, 12, 31), named), "dim_time")
+    return missing
 
 
 def load_dimensions(
     warehouse: Warehouse,
     sources: Sources,
     load_date: date,
-    years: tuple[date, date],
-    holidays: tuple[date, ...] = HOLIDAYS_2024,
+    window: tuple[date, date],
+    holidays: Callable[[int], Iterable[date]] = holidays_of,
 ) -> None:
-    if warehouse.read("dim_time").isEmpty():
-        warehouse.overwrite(calendar(warehouse.spark, *years, holidays), "dim_time")
+    extend_calendar(warehouse, *window, holidays)
     existing = warehouse.read("dim_customer")
     broken = dimensions.ambiguous_entities(existing).limit(1).collect()
     if broken:
@@ -127,19 +138,26 @@ def run(
     run_id: str,
     sources: Sources | None = None,
     load_date: date | None = None,
-    years: tuple[date, date] = (date(2024, 1, 1), date(2024, 12, 31)),
+    bounds: checks.Bounds | None = None,
+    holidays: Callable[[int], Iterable[date]] = holidays_of,
 ) -> dict:
-    """Load one window and return its audit line. Repeating a window leaves the fact contents unchanged."""
+    """Load one window and check what was loaded.
+
+    Returns the audit line of this run, ``orphans`` (by foreign key of the fact) and ``suite`` (summary of the checks, within ``bounds``
+    or else within the window). Repeating a window leaves the fact contents unchanged except for its surrogate keys, which go on counting.
+    """
     load_date = load_date or end
     load_staging(warehouse, extract(warehouse, start, end), load_date)
-    load_dimensions(warehouse, sources or sources_of(warehouse), load_date, years)
+    load_dimensions(warehouse, sources or sources_of(warehouse), load_date, (start, end), holidays)
     load_fact(warehouse, start, end)
     first, last = int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}")
     loaded = warehouse.read("fact_usage_events").where(f"day between {first} and {last}")
     line = rollup.load_audit(warehouse.read("stg_cdr"), loaded, run_id)
     line = line.withColumn("first_day", F.lit(start)).withColumn("last_day", F.lit(end))
-    warehouse.append(line, "etl_audit")
-    return warehouse.read("etl_audit").where(F.col("run_id") == run_id).collect()[-1].asDict()
+    audit = line.collect()[0]
+    warehouse.append(warehouse.spark.createDataFrame([audit], line.schema), "etl_audit")
+    _, suite = run_suite(warehouse, bounds or checks.Bounds(load_date, start, end))
+    return audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
 
 
 def verify(warehouse: Warehouse) -> dict[str, int]:

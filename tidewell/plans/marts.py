@@ -137,9 +137,10 @@ def fraud_by_scenario(t: Tables) -> DataFrame:
 
 
 def rated_usage(t: Tables) -> DataFrame:
-    """Every event with a contract and tariff, priced over the plan's daily share of its allowance."""
+    """Every event with a contract, priced over the plan's daily share of its allowance; a contract without a known tariff
+    has no fee and no allowance."""
     plans = t["tariff"].select("tariff_id", "tariff_type", "monthly_fee", "free_minutes", "data_mb")
-    terms = t["contract"].select("contract_id", "tariff_id").join(plans, "tariff_id")
+    terms = t["contract"].select("contract_id", "tariff_id").join(plans, "tariff_id", "left")
     usage = t["cdr"].select("src_seq", "cdr_id", "contract_id", "event_key", "duration_sec", "data_volume_mb")
     amount = rated_amount(
         *[F.col(c) for c in ("event_key", "duration_sec", "data_volume_mb", "tariff_type", "monthly_fee", "free_minutes", "data_mb")]

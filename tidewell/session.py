@@ -51,9 +51,3 @@ def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def planner_broadcasts(df: DataFrame) -> bool:
-    """Whether the planner's own size estimate already puts ``df`` below its broadcast threshold."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimate <= limit

@@ -8,12 +8,12 @@ expression, so both engines start from the same input.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.sources.files import read_parquet
 
 
 @dataclass(frozen=True)
@@ -23,10 +23,10 @@ class View:
     joins: tuple[tuple[str, str], ...] = field(default=())
     where: str | None = None
 
-    def frame(self, spark: SparkSession, folder: str) -> DataFrame:
-        df = read_parquet(spark, f"{folder}/{self.source}.parquet")
+    def frame(self, read: Callable[[str], DataFrame], folder: str) -> DataFrame:
+        df = read(f"{folder}/{self.source}.parquet")
         for table, condition in self.joins:
-            df = df.join(read_parquet(spark, f"{folder}/{table}.parquet"), F.expr(condition))
+            df = df.join(read(f"{folder}/{table}.parquet"), F.expr(condition))
         if self.where:
             df = df.where(self.where)
         return df.selectExpr(*[f"{text} as {name}" for name, text in self.columns.items()])

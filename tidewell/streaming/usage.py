@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import json
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.functions.calendar import time_key
 from tidewell.functions.rating import SMS_EVENT, VOICE_EVENTS
 from tidewell.operators.validate import USAGE_TESTS, RowTest, stage, validate
+from tidewell.session import materialize
 
 BUCKET = "6 hours"
 
@@ -26,6 +29,11 @@ def passing(stream: DataFrame, tests: tuple[RowTest, ...] = USAGE_TESTS) -> Data
     return stream.where(reduce(lambda a, b: a & b, [test.column() for test in tests]))
 
 
+def failing(stream: DataFrame, tests: tuple[RowTest, ...] = USAGE_TESTS) -> DataFrame:
+    """The rows that :func:`passing` leaves out, for a quarantine of their own."""
+    return stream.where(~reduce(lambda a, b: a & b, [test.column() for test in tests]))
+
+
 def without_copies(stream: DataFrame, key: str = "cdr_id") -> DataFrame:
     """Drop later copies of ``key``. State is kept for the watermark delay; copies further apart pass."""
     return stream.dropDuplicatesWithinWatermark([key])
@@ -58,25 +66,68 @@ def rollup_windows(stream: DataFrame, moment: str = "event_datetime") -> DataFra
     )
 
 
-def quarantine(stream: DataFrame, valid_path: str, rejected_path: str, checkpoint: str) -> StreamingQuery:
-    """Validate each micro-batch into a valid and a rejected table.
-
-    Every batch owns one folder that a retry overwrites, so a batch is stored once however often it runs.
+def quarantine(
+    stream: DataFrame,
+    valid_path: str,
+    rejected_path: str,
+    checkpoint: str,
+    load_date: date,
+    stream_id: str,
+    lookback: str = "31 days",
+) -> StreamingQuery:
+    """Validate each micro-batch into a valid and a rejected table, as the batch form does over all rows at once.
+
+    A row whose id came in an earlier batch is a copy, whatever became of the first one. Ids are compared with stored rows from
+    ``lookback`` before the earliest event of the batch on (and with those that have no event time), so the look-up does not
+    grow with the age of the tables. Every batch owns one folder below ``stream=<stream_id>`` that a retry overwrites with the same
+    rows; a new checkpoint takes a new ``stream_id``.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        marked = validate(stage(batch, datetime.now(timezone.utc).date())).persist()
-        try:
-            for status, path in (("VALID", valid_path), ("REJECTED", rejected_path)):
-                part = marked.where(F.col("etl_status") == status)
-                part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            marked.unpersist()
+        spark = batch.sparkSession
+        marked = materialize(validate(stage(batch, load_date)), "batch")
+        seen = _stored_ids(spark, [valid_path, rejected_path], marked, stream_id, batch_id, lookback)
+        if seen is not None:
+            again = marked["cdr_id"].eqNullSafe(seen["seen_id"])
+            known = marked.join(seen, again, "left")
+            status = F.when(F.col("seen").isNotNull(), "REJECTED").otherwise(F.col("etl_status"))
+            marked = materialize(known.withColumn("etl_status", status).select(*marked.columns), "batch")
+        for status, path in (("VALID", valid_path), ("REJECTED", rejected_path)):
+            part = marked.where(F.col("etl_status") == status)
+            part.write.mode("overwrite").parquet(f"{path}/stream={stream_id}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
+def _stored_ids(
+    spark: SparkSession, paths: list[str], batch: DataFrame, stream_id: str, batch_id: int, lookback: str
+) -> DataFrame | None:
+    """Distinct ids of rows that other batches have stored, or nothing before the first."""
+    parts = []
+    for path in paths:
+        try:
+            parts.append(spark.read.parquet(path))
+        except AnalysisException as error:  # nothing stored yet
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    if not parts:
+        return None
+    stored = reduce(DataFrame.unionByName, parts).where(~((F.col("stream") == stream_id) & (F.col("batch_id") >= batch_id)))
+    first = batch.agg(F.min("event_datetime").alias("first")).collect()[0]["first"]
+    if first is not None:
+        since = F.lit(first) - F.expr(f"interval {lookback}")
+        stored = stored.where(F.col("event_datetime").isNull() | (F.col("event_datetime") >= since))
+    return stored.select(F.col("cdr_id").alias("seen_id"), F.lit(True).alias("seen")).distinct()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark and were left out, as far as the progress of ``query`` is kept."""
+    return sum(
+        operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in json.loads(progress.json)["stateOperators"]
+    )
+
+
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     return writer.option("path", path).trigger(availableNow=True).start()
