@@ -140,7 +140,7 @@ def judge(pages: DataFrame, allow: list[str], block: list[str], otherwise: str =
     def rank(key: Column) -> Column:
         blocks = blocked.holds(key)
         fits = F.when(blocks, F.lit("block")).when(allowed.holds(key), F.lit("allow"))
-        return F.struct(F.length(key).alias("size"), F.instr(key, "/").alias("host"), key.alias("rule"), fits.alias("verdict"))
+        return F.struct(F.length(key).alias("size"), F.instr(F.concat(key, F.lit("/")), "/").alias("host"), key.alias("rule"), fits.alias("verdict"))
 
     ranked = F.filter(F.transform("keys", rank), lambda x: x["verdict"].isNotNull())
     best = keyed.withColumn("best", F.array_max(ranked))
