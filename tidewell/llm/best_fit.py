@@ -25,6 +25,7 @@ from tidewell.session import materialize
 
 CAPACITY = 2048
 RANK_GROUP = 16_384
+FLUSH_BYTES = 1 << 23
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
 
@@ -36,9 +37,15 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int =
     """
     end = np.array([end_id], "<u4").tobytes()
 
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
+            held = 0
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode_all(tokenizer, batch.column("text").to_pylist()), strict=True):
                 ids += end
                 n = len(ids) // 4
@@ -47,10 +54,12 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int =
                     length = (n - 1) % capacity + 1 if at == 0 else capacity
                     rows.append((doc, piece, at, length, ids[4 * at : 4 * (at + length)]))
                     at, piece = at + length, piece + 1
+                held += len(ids)
+                if held > FLUSH_BYTES:
+                    yield as_batch(rows)
+                    rows, held = [], 0
             if rows:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
-                columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
+                yield as_batch(rows)
 
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return narrow.mapInArrow(task, PIECES)

@@ -1,23 +1,24 @@
-"""Token ids by a public byte-level tokenizer, with every distinct chunk of text encoded once per worker.
+"""Token ids by a public byte-level tokenizer, with every distinct word encoded once per worker.
 
-The byte-level pattern never joins a word to what stands before its leading space, so a text may be cut before each single space
-that stands between two other characters, and the ids of the pieces are the ids of the text. Prose repeats its words, hence
-most pieces are found in a memo. Texts with other white space next to a space, and tokenizers of another build, are encoded whole.
+The byte-level pattern never joins a word to what stands before its leading space, nor anything to a line break between two other
+characters, so a text may be cut at single blanks and line breaks, and the ids of the parts are the ids of the text. Prose repeats its
+words, hence most parts are found in a memo. New words are encoded together, a line break between them: its id tells where each ends.
+Texts with runs of blanks or with other white space, and tokenizers of another build, are encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 700_000
 MEMO_KEY = 48
-_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_RARE_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def _cuttable(path: str) -> bool:
@@ -37,7 +38,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cuttable = _cuttable(path)
+        line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.cuttable = _cuttable(path) and len(line_break) == 1
+        self.line_break = np.array(line_break, "<u4").tobytes()
+        # After a letter or digit these signs are always encoded for themselves, so words are stored without them.
+        self.signs = {x: self._ids([x])[0] for x in ",."} if self.cuttable else {}
+        self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
@@ -49,34 +55,56 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, memo: dict[str, bytes], pieces: Iterable[str], lead: str) -> None:
-        new = [x for x in pieces if x not in memo]
-        memo.update(zip(new, self._ids([lead + x for x in new]), strict=True))
+    def _learn(self, new: list[str], lead: str) -> Iterator[tuple[str, bytes]]:
+        """Ids of new words, each after ``lead``, encoded as one text."""
+        if not new:
+            return
+        data = self._ids([lead + f"\n{lead}".join(new)])[0]
+        ends = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == int.from_bytes(self.line_break, "little"))
+        starts = [0, *(ends + 4).tolist()]
+        yield from ((x, data[a:b]) for x, a, b in zip(new, starts, [*ends.tolist(), len(data)], strict=True))
+
+    def _known(self, memo: dict[str, bytes], words: set[str], lead: str) -> dict[str, bytes]:
+        """Ids of ``words``, learning those that the memo lacks."""
+        words.discard("")
+        signs = self.signs
+        signed = {x for x in words if x[-1] in signs and x[-2:-1].isalnum()}
+        stored = (words - signed).union([x[:-1] for x in signed])
+        if len(memo) > MEMO_ENTRIES:
+            memo.clear()
+        memo.update(self._learn(list(stored.difference(memo)), lead))
+        known = {x: memo[x] for x in stored}
+        known.update([(x, memo[x[:-1]] + signs[x[-1]]) for x in signed])
+        for word in [x for x in stored if len(x) > MEMO_KEY]:
+            del memo[word]
+        known[""] = b""
+        return known
+
+    def _is_plain(self, text: str) -> bool:
+        odd = "  " in text or "\n " in text or " \n" in text or "\n\n\n" in text or text[0] == " " or text.endswith((" ", "\n\n"))
+        return not odd and not _RARE_SPACE.search(text) and not any(x in text for x in self.specials)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         cut = {}
         for at, text in enumerate(texts):
-            if (
-                self.cuttable
-                and text
-                and not ("  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " ")
-                and not _RARE_SPACE.search(text)
-            ):
-                cut[at] = text.split(" ")
+            if self.cuttable and text and self._is_plain(text):
+                cut[at] = [line.split(" ") for line in text.split("\n")]
         whole = [at for at in range(len(texts)) if at not in cut]
         for at, ids in zip(whole, self._ids([texts[at] for at in whole]), strict=True):
             out[at] = ids
-        if len(self.heads) + len(self.tails) > MEMO_ENTRIES:
-            self.heads, self.tails = {}, {}
-        self._learn(self.heads, {x[0] for x in cut.values()}, "")
-        self._learn(self.tails, {y for x in cut.values() for y in x[1:]}, " ")
-        tail = self.tails.__getitem__
-        for at, parts in cut.items():
-            out[at] = self.heads[parts[0]] + b"".join(map(tail, parts[1:]))
-        for memo in (self.heads, self.tails):
-            for key in [x for x in memo if len(x) > MEMO_KEY]:
-                del memo[key]
+        firsts: set[str] = set()
+        words: set[str] = set()
+        for lines in cut.values():
+            for line in lines:
+                firsts.add(line[0])
+                words.update(line[1:])
+        # Look-ups by word go to small dictionaries of this slice.
+        head = self._known(self.heads, firsts, "").__getitem__
+        tail = self._known(self.tails, words, " ").__getitem__
+        line_break = self.line_break
+        for at, lines in cut.items():
+            out[at] = line_break.join([head(line[0]) + b"".join(map(tail, line[1:])) for line in lines])
         return out
 
 

@@ -28,8 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.encoding import slices
+
 MEMO_ENTRIES = 400_000
 MEMO_WORD = 32
+TRIED_PAIRS = 200_000
+SLICE = 1 << 20
 NEVER = 1 << 60
 
 
@@ -109,7 +113,7 @@ class PrefixBPE:
         pair = (left, right)
         known = self.tried.get(pair)
         if known is None:
-            if len(self.tried) > 2_000_000:
+            if len(self.tried) > TRIED_PAIRS:
                 self.tried.clear()
             known = self.tried[pair] = self._apart(left, right)
         return known
@@ -139,29 +143,38 @@ class PrefixBPE:
             return self.pattern.findall("".join(map(str.lower, text)) if "Σ" in text else text.lower())
         return self.pattern.findall(text.lower())
 
-    def _known(self, words: list[str]) -> bytes:
-        memo = self.memo
-        out = []
-        for word in words:
-            ids = memo.get(word)
-            if ids is None:
-                ids = np.array(self.word_ids(word), "<i4").tobytes()
-                if len(word) <= MEMO_WORD:
-                    if len(memo) >= MEMO_ENTRIES:
-                        memo.clear()
-                    memo[word] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        if self.specials is None or not self.specials.search(text):
-            return self._known(self._words(text))
+    def _parts(self, text: str) -> list[list[str] | int]:
+        """Words of the stretches between special tokens, and those tokens' ids."""
+        if self.specials is None or not any(x in text for x in self.added):
+            return [self._words(text)]
         out, at = [], 0
         for found in self.specials.finditer(text):
-            out += [self._known(self._words(text[at : found.start()])), np.array([self.added[found[0]]], "<i4").tobytes()]
+            out += [self._words(text[at : found.start()]), self.added[found[0]]]
             at = found.end()
-        return b"".join([*out, self._known(self._words(text[at:]))])
+        return [*out, self._words(text[at:])]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; every distinct word is encoded once."""
+        cut = [self._parts(text) for text in texts]
+        words: set[str] = set()
+        for parts in cut:
+            for part in parts:
+                if not isinstance(part, int):
+                    words.update(part)
+        memo = self.memo
+        if len(memo) > MEMO_ENTRIES:
+            memo.clear()
+        for word in words.difference(memo):
+            memo[word] = np.array(self.word_ids(word), "<i4").tobytes()
+        known = {x: memo[x] for x in words}
+        for word in [x for x in words if len(x) > MEMO_WORD]:
+            del memo[word]
+        find = known.__getitem__
+        number = lambda x: np.array([x], "<i4").tobytes()
+        return [b"".join([number(part) if isinstance(part, int) else b"".join(map(find, part)) for part in parts]) for parts in cut]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """Token strings with a blank between them, as the tokenizer's own decoding gives them where a file names no decoder."""
@@ -180,10 +193,13 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = model(tokenizer)
         for batch in batches:
-            ids = [held.encode(text or "") for text in batch.column("text").to_pylist()]
-            offsets = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, values)], ["doc_id", "ids"])
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for start, end in slices(texts, SLICE):
+                ids = held.encode_all(texts[start:end])
+                offsets = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                numbers = batch.column("doc_id").slice(start, end - start)
+                yield pa.RecordBatch.from_arrays([numbers, pa.ListArray.from_arrays(offsets, values)], ["doc_id", "ids"])
 
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return narrow.mapInArrow(task, "doc_id long, ids array<int>")
@@ -195,11 +211,10 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = model(tokenizer)
         for batch in batches:
-            ids = batch.column("ids").fill_null([])
-            offsets = ids.offsets.to_numpy()
-            values = ids.values.to_numpy().tolist()
-            texts = [held.decode(values[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                texts = [held.decode(ids or []) for ids in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id long, ids array<int>, decoded string")
 

@@ -10,11 +10,15 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Texts are long: a worker holds one batch and what it makes of it.
+ARROW_BYTES = str(8 << 20)
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Add the package to the session's Python files, once per application."""
+    """Add the package to the session's Python files, once per application, and keep Arrow batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         top = Path(__file__).resolve().parents[1]
