@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.measures import mean, money, percent, rounded, rows, rows_where, whole
@@ -28,6 +28,16 @@ OPERATIONAL = (
 DIMENSIONS = ("dim_time", "dim_tariff", "dim_event", "dim_channel", "dim_location")
 
 
+def counted_once(df: DataFrame, layer: str, counts: dict[str, Column]) -> DataFrame:
+    """(layer, table_name, row_count) of several counts over one scan of ``df``."""
+    one = df.agg(*[count.alias(f"_{i}") for i, count in enumerate(counts.values())])
+    lines = [
+        F.struct(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.col(f"_{i}").alias("row_count"))
+        for i, name in enumerate(counts)
+    ]
+    return one.select(F.inline(F.array(*lines)))
+
+
 def operational_counts(t: Tables) -> DataFrame:
     return count_tables([("Operational DB", name, t[name]) for name in OPERATIONAL]).orderBy("table_name")
 
@@ -53,15 +63,10 @@ def staging_vs_source(t: Tables) -> DataFrame:
 
 
 def warehouse_counts(t: Tables) -> DataFrame:
-    customers = t["dim_customer"]
-    tables = [
-        ("dim_customer (all)", customers),
-        ("dim_customer (current)", customers.where("is_current")),
-        ("dim_customer (historical)", customers.where("not is_current")),
-        *[(name, t[name]) for name in DIMENSIONS],
-        ("fact_usage_events", t["fact_usage_events"]),
-    ]
-    return count_tables([("DWH Dimension", name, df) for name, df in tables]).orderBy("table_name")
+    current, past = rows_where(F.col("is_current")), rows_where(~F.col("is_current"))
+    customers = {"dim_customer (all)": rows(), "dim_customer (current)": current, "dim_customer (historical)": past}
+    others = count_tables([("DWH Dimension", name, t[name]) for name in (*DIMENSIONS, "fact_usage_events")])
+    return others.unionByName(counted_once(t["dim_customer"], "DWH Dimension", customers)).orderBy("table_name")
 
 
 def customer_vs_dimension(t: Tables) -> DataFrame:
@@ -98,7 +103,7 @@ def pass_history(t: Tables) -> DataFrame:
 
 def layer_counts(t: Tables) -> DataFrame:
     """Row counts of both layers and the staging outcome as (layer, table_name, row_count, pass_rate_pct)."""
-    warehouse = ("dim_customer", *DIMENSIONS, "fact_usage_events", "stg_cdr")
+    warehouse = ("dim_customer", *DIMENSIONS, "fact_usage_events")
     counts = count_tables(
         [("business_db", name, t[name]) for name in OPERATIONAL] + [("dwh", name, t[name]) for name in warehouse]
     ).withColumn("pass_rate_pct", F.lit(None).cast("double"))
@@ -106,18 +111,23 @@ def layer_counts(t: Tables) -> DataFrame:
     outcome = t["stg_cdr"].agg(valid.alias("_valid"), rejected.alias("_rejected"), rows().alias("_total"))
     rate = F.coalesce(percent(F.col("_valid"), F.col("_total")), F.lit(0.0))
     nothing = F.lit(None).cast("double")
-    lines = [("valid", "_valid", nothing), ("rejected", "_rejected", nothing), ("total", "_total", rate)]
+    lines = [
+        ("dwh", "stg_cdr", "_total", nothing),
+        ("staging", "valid", "_valid", nothing),
+        ("staging", "rejected", "_rejected", nothing),
+        ("staging", "total", "_total", rate),
+    ]
     staging = outcome.select(
         F.inline(
             F.array(
                 *[
                     F.struct(
-                        F.lit("staging").alias("layer"),
+                        F.lit(layer).alias("layer"),
                         F.lit(name).alias("table_name"),
                         F.col(column).alias("row_count"),
                         pct.alias("pass_rate_pct"),
                     )
-                    for name, column, pct in lines
+                    for layer, name, column, pct in lines
                 ]
             )
         )
@@ -154,12 +164,15 @@ def status_distribution(t: Tables) -> DataFrame:
 
 def table_snapshot(t: Tables) -> DataFrame:
     """Report 3: rows of the main tables in layer order."""
-    staged, customers = t["stg_cdr"], t["dim_customer"]
-    counts = count_tables(
-        [("Business DB", name, t[name]) for name in ("customer", "contract", "cdr", "invoice", "payment")]
-        + [("Staging", f"stg_cdr ({s})", staged.where(F.col("etl_status") == s)) for s in ("VALID", "REJECTED")]
-        + [("DWH", "dim_customer (all)", customers), ("DWH", "dim_customer (curr)", customers.where("is_current"))]
-        + [("DWH", name, t[name]) for name in (*DIMENSIONS, "fact_usage_events")]
+    by_status = {f"stg_cdr ({s})": rows_where(F.col("etl_status") == s) for s in ("VALID", "REJECTED")}
+    customers = {"dim_customer (all)": rows(), "dim_customer (curr)": rows_where(F.col("is_current"))}
+    counts = (
+        count_tables(
+            [("Business DB", name, t[name]) for name in ("customer", "contract", "cdr", "invoice", "payment")]
+            + [("DWH", name, t[name]) for name in (*DIMENSIONS, "fact_usage_events")]
+        )
+        .unionByName(counted_once(t["stg_cdr"], "Staging", by_status))
+        .unionByName(counted_once(t["dim_customer"], "DWH", customers))
     )
     name = F.col("table_name")
     status = (
