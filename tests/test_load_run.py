@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidewell.operators.rollup import GRAIN, MEASURES
 from tidewell.plans import load_run, marts, reports
 from tidewell.plans.checks import Bounds
 from tidewell.plans.fixture_tables import FixtureTables
+from tidewell.session import scratch_root
 from tidewell.sources.files import read_parquet, write_csv, write_parquet_stamped
 from tidewell.sources.tables import Warehouse, query
 
@@ -70,6 +73,29 @@ def test_load_repeat_and_overlap(warehouse, spark):
     assert reports.staging_status(tables).agg(F.sum("pct")).collect()[0][0] == pytest.approx(100)
 
 
+def test_loads_leave_nothing_behind(warehouse, spark):
+    def folders():
+        tables = sorted(str(x.relative_to(root)) for x in root.glob("*/*/v-*"))
+        cuts = sorted(Path(scratch_root(spark).removeprefix("file://")).iterdir())
+        return Counter(x.rsplit("/", 1)[0] for x in tables), len(cuts)
+
+    root = Path(warehouse.root)
+    load_run.run(warehouse, *WEEK, run_id="a")
+    load_run.run(warehouse, *WEEK, run_id="b")
+    before = folders()
+    load_run.run(warehouse, *WEEK, run_id="c")
+    assert folders() == before and max(before[0].values()) <= 2
+
+
+def test_overwrite_of_a_partitioned_table(warehouse):
+    rows, schema = warehouse.read("fact_usage_events").collect(), warehouse.read("fact_usage_events").schema
+    few = warehouse.spark.createDataFrame(rows[:5], schema)
+    warehouse.overwrite(few, "fact_usage_events")
+    assert sorted(map(tuple, warehouse.read("fact_usage_events").collect())) == sorted(map(tuple, rows[:5]))
+    warehouse.overwrite(warehouse.spark.createDataFrame(rows, schema), "fact_usage_events")
+    assert warehouse.count("fact_usage_events") == len(rows)
+
+
 def test_days_that_lost_their_rows_are_dropped(warehouse):
     load_run.run(warehouse, *WEEK, run_id="full")
     whole = facts(warehouse)

@@ -15,7 +15,7 @@ from tidewell.operators.keys import next_after, number_sorted
 from tidewell.operators.rules import summarize
 from tidewell.operators.validate import stage, validate
 from tidewell.plans import checks, marts
-from tidewell.session import materialize
+from tidewell.session import cuts_of, discard_cuts, materialize
 from tidewell.sources.schemas import TABLES
 from tidewell.sources.tables import Warehouse
 
@@ -147,6 +147,7 @@ def run(
     or else within the window). Repeating a window leaves the fact contents unchanged except for its surrogate keys, which go on counting.
     """
     load_date = load_date or end
+    kept = len(cuts_of(warehouse.spark))
     load_staging(warehouse, extract(warehouse, start, end), load_date)
     load_dimensions(warehouse, sources or sources_of(warehouse), load_date, (start, end), holidays)
     load_fact(warehouse, start, end)
@@ -157,7 +158,9 @@ def run(
     audit = line.collect()[0]
     warehouse.append(warehouse.spark.createDataFrame([audit], line.schema), "etl_audit")
     _, suite = run_suite(warehouse, bounds or checks.Bounds(load_date, start, end))
-    return audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
+    loaded = audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
+    discard_cuts(warehouse.spark, kept)  # everything above is in tables or collected
+    return loaded
 
 
 def verify(warehouse: Warehouse) -> dict[str, int]:

@@ -40,6 +40,27 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+_cuts: dict[str, list[str]] = {}
+
+
+def cuts_of(spark: SparkSession) -> list[str]:
+    """Folders that :func:`materialize` has written in this application and nobody has deleted, the oldest first."""
+    return _cuts.setdefault(spark.sparkContext.applicationId, [])
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard_cuts(spark: SparkSession, kept: int = 0) -> None:
+    """Delete all cuts but the first ``kept``. For the end of an action that nothing lazily reads any more."""
+    written = cuts_of(spark)
+    while len(written) > kept:
+        delete_folder(spark, written.pop())
+
+
 def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; ``options`` are those of the parquet writer.
 
@@ -49,5 +70,6 @@ def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
+    cuts_of(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

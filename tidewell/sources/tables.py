@@ -20,10 +20,11 @@ class Warehouse:
 
     A table is a catalog entry over a versioned folder: replacing its contents writes a new folder and then
     points the entry at it, so a job may replace the table it reads and a failed job leaves the old version.
+    The newest ``versions`` folders of a table are kept, for readers that began before a replacement.
     """
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
-        self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "", versions: int = 2):
+        self.spark, self.root, self.prefix, self.versions = spark, root.rstrip("/"), prefix, max(1, versions)
 
     def name(self, table: str) -> str:
         layer = "ops" if table in TABLES["ops"] else "dwh"
@@ -41,12 +42,22 @@ class Warehouse:
                 self.create(table)
 
     def create(self, table: str) -> None:
+        self._create_at(self.name(table), table, self._fresh_folder(table))
+
+    def _create_at(self, name: str, table: str, folder: str) -> None:
         layer = "ops" if table in TABLES["ops"] else "dwh"
         partition = f" partitioned by ({PARTITIONED[table]})" if table in PARTITIONED else ""
-        self.spark.sql(
-            f"create table {self.name(table)} ({TABLES[layer][table]}) using parquet{partition} "
-            f"location '{self._fresh_folder(table)}'"
-        )
+        self.spark.sql(f"create table {name} ({TABLES[layer][table]}) using parquet{partition} location '{folder}'")
+
+    def _drop_old_versions(self, table: str) -> None:
+        """Delete all but the newest folders of a table."""
+        parent = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{self.name(table).replace('.', '/')}")
+        system = parent.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = sorted(system.listStatus(parent), key=lambda x: (x.getModificationTime(), x.getPath().getName()))
+        current = self.spark.sql(f"describe formatted {self.name(table)}").where("col_name = 'Location'").collect()[0]["data_type"]
+        old = [x.getPath() for x in found if x.getPath().getName() != current.rstrip("/").rsplit("/", 1)[-1]]
+        for path in old[: max(0, len(old) - self.versions + 1)]:
+            system.delete(path, True)
 
     def drop(self, table: str) -> None:
         self.spark.sql(f"drop table if exists {self.name(table)}")
@@ -77,15 +88,22 @@ class Warehouse:
         """Swap in new contents, also empty ones. Missing columns take the table's defaults."""
         draft = f"{self.name(table)}_draft_{uuid.uuid4().hex[:8]}"
         folder = self._fresh_folder(table)
-        layer = "ops" if table in TABLES["ops"] else "dwh"
-        self.spark.sql(f"create table {draft} ({TABLES[layer][table]}) using parquet location '{folder}'")
+        self._create_at(draft, table, folder)
         try:
             columns = ", ".join(df.columns)
             self.spark.sql(f"insert into {draft} ({columns}) select {columns} from {{rows}}", rows=df)
-        finally:
-            self.spark.sql(f"drop table {draft}")  # an external table: its files stay
-        self.spark.sql(f"alter table {self.name(table)} set location '{folder}'")
+        except BaseException:
+            self.spark.sql(f"drop table {draft}")
+            raise
+        if table in PARTITIONED:
+            # The catalog lists partitions by folder: the entry has to go with its partitions. External files stay.
+            self.drop(table)
+            self.spark.sql(f"alter table {draft} rename to {self.name(table)}")
+        else:
+            self.spark.sql(f"drop table {draft}")
+            self.spark.sql(f"alter table {self.name(table)} set location '{folder}'")
         self.spark.catalog.refreshTable(self.name(table))
+        self._drop_old_versions(table)
 
     def replace_days(self, df: DataFrame, table: str, first: int, last: int) -> None:
         """Make ``df`` the contents of the day partitions ``first``..``last`` (yyyymmdd) of a partitioned table.
@@ -105,5 +123,10 @@ class Warehouse:
             f"insert overwrite {self.name(table)} partition ({column}) select {', '.join(target)} from {{rows}}", rows=df
         )
         after = {row[0] for row in df.select(column).distinct().collect()}
+        others = ", ".join(name for name in target if name != column)
         for day in sorted(before - after):
+            # Emptied first: dropping a partition of an external table leaves its files, which a repair would bring back.
+            self.spark.sql(
+                f"insert overwrite {self.name(table)} partition ({column} = {day}) select {others} from {{rows}} where false", rows=df
+            )
             self.spark.sql(f"alter table {self.name(table)} drop if exists partition ({column} = {day})")
