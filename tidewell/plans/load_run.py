@@ -15,7 +15,7 @@ from tidewell.operators.keys import next_after, number_sorted
 from tidewell.operators.rules import summarize
 from tidewell.operators.validate import stage, validate
 from tidewell.plans import checks, marts
-from tidewell.session import cuts_of, discard_cuts, materialize
+from tidewell.session import discarding_cuts, materialize
 from tidewell.sources.schemas import TABLES
 from tidewell.sources.tables import Warehouse
 
@@ -147,9 +147,22 @@ def run(
     or else within the window). Repeating a window leaves the fact contents unchanged except for its surrogate keys, which go on counting.
     """
     load_date = load_date or end
-    kept = len(cuts_of(warehouse.spark))
+    with discarding_cuts(warehouse.spark):  # all that remains is in tables or collected
+        return _load(warehouse, start, end, run_id, sources or sources_of(warehouse), load_date, bounds, holidays)
+
+
+def _load(
+    warehouse: Warehouse,
+    start: date,
+    end: date,
+    run_id: str,
+    sources: Sources,
+    load_date: date,
+    bounds: checks.Bounds | None,
+    holidays: Callable[[int], Iterable[date]],
+) -> dict:
     load_staging(warehouse, extract(warehouse, start, end), load_date)
-    load_dimensions(warehouse, sources or sources_of(warehouse), load_date, (start, end), holidays)
+    load_dimensions(warehouse, sources, load_date, (start, end), holidays)
     load_fact(warehouse, start, end)
     first, last = int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}")
     loaded = warehouse.read("fact_usage_events").where(f"day between {first} and {last}")
@@ -158,9 +171,7 @@ def run(
     audit = line.collect()[0]
     warehouse.append(warehouse.spark.createDataFrame([audit], line.schema), "etl_audit")
     _, suite = run_suite(warehouse, bounds or checks.Bounds(load_date, start, end))
-    loaded = audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
-    discard_cuts(warehouse.spark, kept)  # everything above is in tables or collected
-    return loaded
+    return audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
 
 
 def verify(warehouse: Warehouse) -> dict[str, int]:

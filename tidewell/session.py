@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-_cuts: dict[str, list[str]] = {}
-
-
-def cuts_of(spark: SparkSession) -> list[str]:
-    """Folders that :func:`materialize` has written in this application and nobody has deleted, the oldest first."""
-    return _cuts.setdefault(spark.sparkContext.applicationId, [])
+_scope: ContextVar[list[str] | None] = ContextVar("cuts", default=None)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -54,11 +52,17 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def discard_cuts(spark: SparkSession, kept: int = 0) -> None:
-    """Delete all cuts but the first ``kept``. For the end of an action that nothing lazily reads any more."""
-    written = cuts_of(spark)
-    while len(written) > kept:
-        delete_folder(spark, written.pop())
+@contextmanager
+def discarding_cuts(spark: SparkSession) -> Iterator[None]:
+    """Delete the cuts that this thread makes inside the block when it ends; nothing lazy may read them afterwards."""
+    written: list[str] = []
+    token = _scope.set(written)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in written:
+            delete_folder(spark, path)
 
 
 def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
@@ -70,6 +74,7 @@ def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    cuts_of(spark).append(path)
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
