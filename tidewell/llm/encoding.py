@@ -16,7 +16,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 1_000_000
 MEMO_KEY = 48
 _RARE_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -44,8 +44,7 @@ class Encoder:
         # After a letter or digit these signs are always encoded for themselves, so words are stored without them.
         self.signs = {x: self._ids([x])[0] for x in ",."} if self.cuttable else {}
         self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}
 
     @property
     def vocabulary_size(self) -> int:
@@ -55,30 +54,30 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, new: list[str], lead: str) -> Iterator[tuple[str, bytes]]:
-        """Ids of new words, each after ``lead``, encoded as one text."""
-        if not new:
-            return
-        data = self._ids([lead + f"\n{lead}".join(new)])[0]
-        ends = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == int.from_bytes(self.line_break, "little"))
-        starts = [0, *(ends + 4).tolist()]
-        yield from ((x, data[a:b]) for x, a, b in zip(new, starts, [*ends.tolist(), len(data)], strict=True))
-
-    def _known(self, memo: dict[str, bytes], words: set[str], lead: str) -> dict[str, bytes]:
-        """Ids of ``words``, learning those that the memo lacks."""
-        words.discard("")
-        signs = self.signs
-        signed = {x for x in words if x[-1] in signs and x[-2:-1].isalnum()}
-        stored = (words - signed).union([x[:-1] for x in signed])
+    def _learn(self, new: list[str]) -> Iterable[tuple[str, bytes]]:
+        """Ids of new words, encoded as one text in which a line break begins each of them."""
+        after_blank = [x for x in new if x[0] != "\n"]
+        after_break = [x for x in new if x[0] == "\n"]
+        data = self._ids(["".join([*(f"\n {x}" for x in after_blank), *after_break])])[0]
+        starts = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == int.from_bytes(self.line_break, "little"))
+        bounds = [*starts.tolist(), len(data)]
+        for place, word in enumerate(after_blank):
+            yield word, data[bounds[place] + 4 : bounds[place + 1]]
+        for place, word in enumerate(after_break, len(after_blank)):
+            yield word, data[bounds[place] : bounds[place + 1]]
+
+    def _remember(self, words: set[str]) -> list[str]:
+        """Put ``words`` into the memo; returns those too long to stay. A word stands for itself after a blank, or begins with a line break."""
+        signs, memo = self.signs, self.memo
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
-        memo.update(self._learn(list(stored.difference(memo)), lead))
-        known = {x: memo[x] for x in stored}
-        known.update([(x, memo[x[:-1]] + signs[x[-1]]) for x in signed])
-        for word in [x for x in stored if len(x) > MEMO_KEY]:
-            del memo[word]
-        known[""] = b""
-        return known
+        memo[""] = b""
+        new = words.difference(memo)
+        signed = [x for x in new if x[-1] in signs and x[-2:-1].isalnum()]
+        stored = new.difference(signed).union([x[:-1] for x in signed]).difference(memo)
+        memo.update(self._learn(list(stored)))
+        memo.update([(x, memo[x[:-1]] + signs[x[-1]]) for x in signed])
+        return [x for x in new.union(stored) if len(x) > MEMO_KEY]
 
     def _is_plain(self, text: str) -> bool:
         odd = "  " in text or "\n " in text or " \n" in text or "\n\n\n" in text or text[0] == " " or text.endswith((" ", "\n\n"))
@@ -89,22 +88,20 @@ class Encoder:
         cut = {}
         for at, text in enumerate(texts):
             if self.cuttable and text and self._is_plain(text):
-                cut[at] = [line.split(" ") for line in text.split("\n")]
+                # The text after a line break of its own, whose id is taken off again; the first part is empty.
+                cut[at] = f"\n{text}".replace("\n", " \n").split(" ")
         whole = [at for at in range(len(texts)) if at not in cut]
         for at, ids in zip(whole, self._ids([texts[at] for at in whole]), strict=True):
             out[at] = ids
-        firsts: set[str] = set()
         words: set[str] = set()
-        for lines in cut.values():
-            for line in lines:
-                firsts.add(line[0])
-                words.update(line[1:])
-        # Look-ups by word go to small dictionaries of this slice.
-        head = self._known(self.heads, firsts, "").__getitem__
-        tail = self._known(self.tails, words, " ").__getitem__
-        line_break = self.line_break
-        for at, lines in cut.items():
-            out[at] = line_break.join([head(line[0]) + b"".join(map(tail, line[1:])) for line in lines])
+        for parts in cut.values():
+            words.update(parts)
+        long = self._remember(words)
+        find, skip = self.memo.__getitem__, len(self.line_break)
+        for at, parts in cut.items():
+            out[at] = b"".join(map(find, parts))[skip:]
+        for word in long:
+            del self.memo[word]
         return out
 
 
@@ -117,7 +114,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(texts: list[str], limit: int = 1 << 20) -> Iterable[tuple[int, int]]:
+def slices(texts: list[str], limit: int = 1 << 22) -> Iterable[tuple[int, int]]:
     """Ranges of texts of about ``limit`` characters."""
     start = size = 0
     for at, text in enumerate(texts):
