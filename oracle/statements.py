@@ -491,13 +491,37 @@ def _suites() -> dict[str, str]:
     }
 
 
-OPERATIONAL = ["customer", "contract", "tariff", "operator", "device", "location", "region", "event_type", "channel"]
-OPERATIONAL += ["invoice", "payment", "cdr"]
-DIMENSIONS = {"dim_time": "w_time", "dim_tariff": "w_tariff", "dim_event": "w_event", "dim_channel": "w_channel"}
-DIMENSIONS["dim_location"] = "w_location"
-WIDTHS = {
-    "Operational DB": [200, 50, 80, 50, 120, 100, 50, 80, 50, 56, 68, 115],
-    "Data Warehouse": [135, 220, 90, 120, 80, 70, 115, 150],
+# The tables of each layer with their declared bytes per row.
+OPERATIONAL = {
+    "customer": 200,
+    "contract": 50,
+    "tariff": 80,
+    "operator": 50,
+    "device": 120,
+    "location": 100,
+    "region": 50,
+    "event_type": 80,
+    "channel": 50,
+    "invoice": 56,
+    "payment": 68,
+    "cdr": 115,
+}
+WAREHOUSE = {
+    "fact_usage_events": 135,
+    "dim_customer": 220,
+    "dim_time": 90,
+    "dim_tariff": 120,
+    "dim_event": 80,
+    "dim_channel": 70,
+    "dim_location": 115,
+    "stg_cdr": 150,
+}
+DIMENSIONS = {
+    "dim_time": "w_time",
+    "dim_tariff": "w_tariff",
+    "dim_event": "w_event",
+    "dim_channel": "w_channel",
+    "dim_location": "w_location",
 }
 
 
@@ -534,8 +558,9 @@ def _reconciliation() -> dict[str, str]:
     sizes = " union all ".join(
         f"select '{layer}' as layer, '{name}' as table_name, '{kinds.get(name, '-')}' as scd_type, {width} as row_size_bytes, "
         f"count(*) as row_count, {width} * count(*) as total_bytes, round({width} * count(*) / 1048576.0::double, 2) as size_mb from {view}"
-        for layer, tables in (("Operational DB", source), ("Data Warehouse", warehouse))
-        for (name, view), width in zip(tables.items(), WIDTHS[layer], strict=True)
+        for layer, views, widths in (("Operational DB", source, OPERATIONAL), ("Data Warehouse", warehouse, WAREHOUSE))
+        for name, width in widths.items()
+        for view in [views[name]]
     )
     totals = f"""select layer as database_layer, cast(sum(total_bytes) as bigint) as total_bytes from ({sizes}) group by layer
         union all select 'Index Overhead', cast(sum(total_bytes * 0.2::double) as bigint) from ({sizes})
@@ -559,54 +584,54 @@ def _reconciliation() -> dict[str, str]:
 
 # table -> (key, required columns, value checks, further unique columns)
 CONSTRAINTS = {
-    "region": ("region_id", "bundesland country", {}, ""),
-    "operator": ("operator_id", "operator_name country", {}, ""),
+    "region": ("region_id", ["bundesland", "country"], {}, []),
+    "operator": ("operator_id", ["operator_name", "country"], {}, []),
     "tariff": (
         "tariff_id",
-        "tariff_name tariff_type monthly_fee operator_id",
+        ["tariff_name", "tariff_type", "monthly_fee", "operator_id"],
         {"tariff_type": "tariff_type in ('Prepaid', 'Postpaid')"},
-        "",
+        [],
     ),
     "customer": (
         "customer_id",
-        "first_name last_name country segment customer_status",
+        ["first_name", "last_name", "country", "segment", "customer_status"],
         {
             "gender": "gender in ('M', 'F', 'D')",
             "segment": "segment in ('Budget', 'Standard', 'Premium', 'Business', 'Senior')",
         },
-        "",
+        [],
     ),
-    "device": ("device_id", "customer_id", {}, ""),
+    "device": ("device_id", ["customer_id"], {}, []),
     "contract": (
         "contract_id",
-        "customer_id tariff_id start_date status",
+        ["customer_id", "tariff_id", "start_date", "status"],
         {"status": "status in ('Active', 'Closed', 'Suspended')"},
-        "",
+        [],
     ),
     "event_type": (
         "event_key",
-        "event_name event_category is_chargeable fraud_risk_level",
+        ["event_name", "event_category", "is_chargeable", "fraud_risk_level"],
         {"fraud_risk_level": "fraud_risk_level in ('Low', 'Medium', 'High', 'Critical')"},
-        "",
+        [],
     ),
-    "channel": ("channel_id", "channel_name channel_type", {}, ""),
-    "location": ("location_id", "country", {"area_type": "area_type in ('Urban', 'Suburban', 'Rural')"}, "cell_tower_id"),
+    "channel": ("channel_id", ["channel_name", "channel_type"], {}, []),
+    "location": ("location_id", ["country"], {"area_type": "area_type in ('Urban', 'Suburban', 'Rural')"}, ["cell_tower_id"]),
     "cdr": (
         "cdr_id",
-        "contract_id event_key event_datetime cost fraud_flag fraud_score",
+        ["contract_id", "event_key", "event_datetime", "cost", "fraud_flag", "fraud_score"],
         {
             "duration_sec": "duration_sec >= 0",
             "call_type": "call_type in ('Outgoing', 'Incoming', 'N/A')",
             "fraud_score": "fraud_score between 0 and 1",
         },
-        "",
+        [],
     ),
-    "payment": ("payment_id", "contract_id amount pay_date", {"amount": "amount >= 0"}, ""),
+    "payment": ("payment_id", ["contract_id", "amount", "pay_date"], {"amount": "amount >= 0"}, []),
     "invoice": (
         "invoice_id",
-        "contract_id billing_period total_amount status",
+        ["contract_id", "billing_period", "total_amount", "status"],
         {"status": "status in ('Pending', 'Paid', 'Overdue', 'Cancelled')"},
-        "",
+        [],
     ),
 }
 
@@ -615,11 +640,11 @@ def _constraint_suite() -> str:
     lines = []
     for table, (key, required, values, unique) in CONSTRAINTS.items():
         head = f"select '{table}' as table_name, '{{name}}' as constraint_name, count(*) as violations from "
-        for column in [key, *required.split()]:
+        for column in [key, *required]:
             lines.append(head.format(name=f"not null {column}") + f"v_{table} where {column} is null")
         for column, condition in values.items():
             lines.append(head.format(name=f"check {column}") + f"v_{table} where not ({condition})")
-        for column in [key, *unique.split()]:
+        for column in [key, *unique]:
             copies = f"(select {column} from v_{table} where {column} is not null group by {column} having count(*) > 1)"
             lines.append(head.format(name=f"unique {column}") + copies)
     return " union all ".join(lines)
