@@ -16,7 +16,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 600_000
 MEMO_KEY = 48
 _RARE_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
