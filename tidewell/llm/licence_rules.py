@@ -1,11 +1,13 @@
 """Licence recognition by sentences.
 
-A text is cut into sentences, which are normalised (lower-case letters and digits, one blank between words). Sentences that occur in known
-licences get an identifier, all others none. A rule is a sequence of identifiers; it fits where its sentences follow one
-another without another sentence between them. Rules are ordered, those of most sentences first: a rule claims the
-sentences it fits, so a notice inside a full licence text is not reported again, while the same notice elsewhere is.
+A text is normalised to lower-case words of letters and digits, with what separates them: blanks, a line break, blank lines, or the end of a
+sentence. Sentences of known licences get an identifier where they begin and end at a line break, blank line, sentence end or list number; all other
+words get none. Lines may break anywhere inside a sentence. Blank lines and list numbers may stand where the licence has a paragraph of its own, and
+need not. A rule is a sequence of identifiers; it fits where its sentences follow one another without other words between them (list numbers aside).
+Rules are ordered, those of most sentences first: a rule claims the sentences it fits, so a notice inside a full licence text is not reported again,
+while the same notice elsewhere is. Of known sentences that overlap the one of most words counts.
 
-Everything is built-in functions over arrays; the tables of sentences and rules are part of the expression.
+Everything is built-in functions; the tables of sentences and rules are part of the expression.
 
 Defined results: null and empty texts have no licence. Repeated rows are judged row by row. Other columns are ignored, whatever their
 names. A sentence of any length is compared whole.
@@ -13,12 +15,15 @@ names. A sentence of any length is compared whole.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Licence texts and notices, as their publishers word them.
+# Licence texts and notices, as their publishers word them. Blank lines (and list numbers after them) inside a sentence are the
+# publishers' paragraphs; between sentences there may be some in any case.
 RULES: list[tuple[str, str, str]] = [
     (
         "MIT",
@@ -26,7 +31,7 @@ RULES: list[tuple[str, str, str]] = [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
         " files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy,"
         " modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
-        " Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission"
+        " Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission"
         " notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT"
         " WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
         " PARTICULAR PURPOSE AND NONINFRINGEMENT.",
@@ -38,7 +43,7 @@ RULES: list[tuple[str, str, str]] = [
         "Apache-2.0",
         "text",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the"
-        " License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable"
+        " License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable"
         " law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES"
         " OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and"
         " limitations under the License.",
@@ -57,9 +62,9 @@ RULES: list[tuple[str, str, str]] = [
         "BSD-3-Clause",
         "text",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
-        " conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the"
-        " following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
-        " and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name"
+        " conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+        " following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
+        " and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n3. Neither the name"
         " of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this"
         " software without specific prior written permission.",
     ),
@@ -67,8 +72,8 @@ RULES: list[tuple[str, str, str]] = [
         "BSD-2-Clause",
         "text",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
-        " conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the"
-        " following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
+        " conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+        " following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
         " and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ),
     ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
@@ -78,39 +83,72 @@ RULES: list[tuple[str, str, str]] = [
     ("CC-BY-SA-4.0", "notice", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 ]
 
-#: Where sentences end: at line ends, and at a full stop or the like before white space or the end of the text.
-SENTENCE_END = r"[.!?]+([ \t\r\n\f]+|$)|[\r\n]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
-
-
-def sentences_of(text: str) -> list[str]:
-    """The normalised sentences of a text, as the columns have them."""
-    import re
-
-    parts = re.split(r"[.!?]+(?:[ \t\r\n\f]+|$)|[\r\n]+", text)
-    words = [" ".join(re.findall("[a-z0-9]+", x.translate(str.maketrans(UPPER, LOWER)))) for x in parts]
-    return [x for x in words if x]
+# Separators of words in a normalised text: a blank, a line break, blank lines, the end of a sentence. What may be a list number is a word ending in N.
+BLANK_LINES, END, NUMBER = "P", "S", "N"
+EDGE = r"[\nPS]"
+#: A number or letter with a full stop or bracket, first in its line or after a sentence mark, colon or semicolon.
+LIST_NUMBER = r"(\n[^a-z0-9\n]*+|[.!?:;][ \t\f]++[(\[]?)([0-9]{1,3}|[a-z])[.)](?=[ \t\n\f])"
+#: Between two words of a sentence, and where its licence has a paragraph.
+GAP, PARAGRAPH = r"[ \n]", r"[ \nP](?:[0-9a-z]+N[\nP])?"
+
+
+def normalised(text: Column) -> Column:
+    """Words and separators of a text, with a separator at both ends."""
+    lines = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), UPPER + "\r", LOWER + "\n")
+    steps = [
+        (LIST_NUMBER, f"$1$2{NUMBER}\n"),
+        (r"[.!?]+(?=[ \t\n\f])", END),
+        (r"[^a-z0-9NS\n]+", " "),
+        (r" ?\n[ \n]*\n ?", BLANK_LINES),
+        (r" ?\n ?", "\n"),
+        (r"[ \nP]*S[ \nPS]*", END),
+    ]
+    return reduce(lambda column, step: F.regexp_replace(column, *step), steps, F.concat(F.lit("\n"), lines, F.lit("\n")))
+
+
+def rule_sentences(text: str) -> list[list[str]]:
+    """The words of each sentence of a rule, with an empty one for each paragraph that begins inside it."""
+    text = re.sub(r"\n\s*\n\s*(?:[0-9]{1,3}[.)]\s+)?", " \0 ", text)
+    out = []
+    for part in re.split(r"[.!?]+(?:\s+|$)", text):
+        words = re.findall("[a-z0-9]+|\0", part.translate(str.maketrans(UPPER, LOWER)))
+        out.append(["" if x == "\0" else x for x in " ".join(words).strip(" \0").split(" ")])
+    return [x for x in out if any(x)]
+
+
+def pattern(words: list[str]) -> str:
+    """The normal form of a sentence in any layout; its last word may look like a list number."""
+    out, gap = "", ""
+    for word in words:
+        out += (gap + word + f"{NUMBER}?" * bool(re.fullmatch("[0-9]{1,3}|[a-z]", word))) if word else ""
+        gap = GAP if word else PARAGRAPH
+    return out
 
 
 @dataclass(frozen=True)
 class Rules:
-    """``sentences``: identifier by normalised sentence. ``ordered``: (licence, kind, identifiers), those of most sentences first."""
+    """``sentences``: identifier by words of a sentence. ``patterns``: how a text has it. ``ordered``: (licence, kind, identifiers), those of most sentences first."""
 
     sentences: dict[str, int]
+    patterns: dict[int, str]
     ordered: list[tuple[str, str, list[int]]]
 
 
 def compile_rules(rules: list[tuple[str, str, str]]) -> Rules:
     sentences: dict[str, int] = {}
+    layouts: dict[int, set[str]] = {}
     ordered = []
     for licence, kind, text in rules:
-        ids = [sentences.setdefault(x, len(sentences) + 1) for x in sentences_of(text)]
+        ids = []
+        for words in rule_sentences(text):
+            ids.append(sentences.setdefault(" ".join(filter(None, words)), len(sentences) + 1))
+            layouts.setdefault(ids[-1], set()).add(pattern(words))
         ordered.append((licence, kind, ids))
-    return Rules(sentences, sorted(ordered, key=lambda x: (-len(x[2]), x[0], x[2])))
+    longest_first = sorted(sentences, key=lambda x: (-x.count(" "), x))
+    patterns = {sentences[x]: "|".join(sorted(layouts[sentences[x]])) for x in longest_first}
+    return Rules(sentences, patterns, sorted(ordered, key=lambda x: (-len(x[2]), x[0], x[2])))
 
 
 def code(ids: list[int]) -> str:
@@ -121,12 +159,16 @@ def code(ids: list[int]) -> str:
 def scan(docs: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """``doc_id``, ``n_sentences`` (known ones), ``licences`` (names in order, joined by commas, empty without any) and ``n_matches``."""
     known = compile_rules(rules if rules is not None else RULES)
-    ids = F.create_map(*[F.lit(x) for pair in known.sentences.items() for x in pair])
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    sentences = F.filter(F.transform(F.split(text, SENTENCE_END), normalised), lambda x: x != "")
-    # Unknown sentences become a stop; a rule cannot reach across it.
-    coded = F.transform(sentences, lambda x: F.coalesce(F.concat(F.lit("|"), F.try_element_at(ids, x).cast("string"), F.lit("|")), F.lit("-")))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.array_join(coded, "").alias("left"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), normalised(text).alias("words"))
+    named = F.col("words")
+    for number, layout in known.patterns.items():
+        named = F.regexp_replace(named, f"({EDGE})(?:{layout})(?={EDGE})", f"$1{code([number])}")
+    named = F.regexp_replace(named, f"{EDGE}[0-9a-z]+{NUMBER}(?={EDGE})", "")
+    # Other words become a stop; a rule cannot reach across it.
+    named = F.regexp_replace(F.regexp_replace(named, rf"{EDGE}[^|\nPS]+", "-"), EDGE, "")
+    some = F.col("words").rlike(f"{EDGE}(?:{'|'.join(known.patterns.values())}){EDGE}")
+    rows = rows.select("doc_id", F.when(some, named).otherwise("").alias("left"))
     rows = rows.withColumn("n_sentences", (F.length(F.regexp_replace("left", "[^|]", "")) / 2).cast("long"))
     found = []
     for number, (licence, _, sequence) in enumerate(known.ordered):
