@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from tidewell.llm import licence_rules
 
 PUBLISHED = {
@@ -93,3 +95,58 @@ def test_texts_as_published(spark):
     """The rules of whole texts, each once and without a notice inside it."""
     assert sorted(PUBLISHED) == sorted(name for name, kind, _ in licence_rules.RULES if kind == "text")
     assert scanned(spark, PUBLISHED.values()) == [(name, 1) for name in PUBLISHED]
+
+
+LAYOUTS = {
+    "carriage returns": lambda x: x.replace("\n", "\r\n"),
+    "old line ends": lambda x: x.replace("\n", "\r"),
+    "indented": lambda x: x.replace("\n", "\n\t    "),
+    "comment": lambda x: "/*\n * " + x.replace("\n", "\n * ") + "\n */",
+    "hash comment": lambda x: "# " + x.replace("\n", "\n# "),
+    "one line": lambda x: " ".join(x.split()),
+    "a word a line": lambda x: "\n".join(x.split()),
+    "paragraphs unwrapped": lambda x: "\n\n".join(" ".join(part.split()) for part in x.split("\n\n")),
+    "no blank lines": lambda x: x.replace("\n\n", "\n"),
+    "numbers in brackets": lambda x: x.replace("1.", "(1)").replace("2.", "(2)").replace("3.", "(3)") if "1. " in x else x,
+    "bullets": lambda x: x.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ") if "1. " in x else x,
+    "heading without a full stop": lambda x: "Licence of this page\n" + x.split("\n\n", 2 if x.startswith("MIT") else 1)[-1],
+    "capitals": str.upper,
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_texts_in_other_layouts(spark, layout):
+    texts = {name: LAYOUTS[layout](text) for name, text in PUBLISHED.items()}
+    if layout == "one line":  # the line of the copyright has no end there
+        texts = {name: LAYOUTS[layout](text.split("\n\n", 2 if name == "MIT" else 1)[-1]) for name, text in PUBLISHED.items()}
+    assert scanned(spark, texts.values()) == [(name, 1) for name in texts]
+
+
+def test_notices_broken_at_each_blank(spark):
+    broken = []
+    for name, kind, text in licence_rules.RULES:
+        words = text.split(" ")
+        if kind == "notice":
+            for place in range(1, len(words)):
+                head, tail = " ".join(words[:place]), " ".join(words[place:])
+                broken.append((name, f"A heading\n{head}\n{tail}\n\nOther words follow."))
+                broken.append((name, f"Words before.\n// {head}\r\n// {tail} Other words follow."))
+    assert len(broken) > 100
+    assert scanned(spark, [text for _, text in broken]) == [(name, 1) for name, _ in broken]
+
+
+def test_what_is_no_licence(spark):
+    mit, bsd = PUBLISHED["MIT"], PUBLISHED["BSD-3-Clause"]
+    texts = [
+        "Not licensed under the\nMIT License.",
+        "Licensed under the. MIT License.",  # a sentence ends between
+        "Licensed under the\n\nMIT License.",  # no paragraph of the notice
+        "Licensed under the\n1. MIT License.",
+        mit.replace("THE SOFTWARE IS", "Other words.\n\nTHE SOFTWARE IS"),
+        mit.replace("free of charge, ", ""),
+        bsd.replace("2. Red", "2. Other words.\n\n3. Red").replace("3. Neither", "4. Neither"),
+        "\n" * 200_000 + ". " * 200_000 + " \n" * 200_000,
+    ]
+    assert scanned(spark, texts) == [("", 0)] * len(texts)
+    counts = licence_rules.scan(spark.createDataFrame([(1, bsd)], "doc_id long, text string")).collect()
+    assert counts[0].n_sentences == 3
