@@ -85,3 +85,21 @@ def test_awkward_rows(awkward, no_rows):
 def test_long_runs_of_one_word(count):
     found = repetition.measure_column(pa.array(["word " * count]))
     assert found["longest_repeat"][0] == max(0, count - 1)
+
+
+@pytest.mark.parametrize(("size", "kept"), [(49, True), (50, False), (90, False)])
+def test_a_passage_written_twice_in_a_long_text(size, kept):
+    """The other limits hold, so the longest repeat alone decides."""
+    words = [f"w{i}" for i in range(700)]
+    words[400 : 400 + size] = words[100 : 100 + size]
+    found = repetition.measure_column(pa.array([" ".join(words)]))
+    assert not found["base_failed"][0] and found["covered_words"][0] == 2 * size <= repetition.MAX_COVERED * 700
+    assert found["longest_repeat"][0] == size and found["kept"][0] == kept
+
+
+def test_a_clean_long_text_stays():
+    """500,000 words, as frequent as those of a language."""
+    draw = random.Random(5)
+    words = draw.choices([f"w{i}" for i in range(50_000)], [1 / (i + 1) for i in range(50_000)], k=500_000)
+    found = repetition.measure_column(pa.array([" ".join(words)]))
+    assert found["n_words"][0] == 500_000 and found["longest_repeat"][0] > 4 and found["kept"][0]

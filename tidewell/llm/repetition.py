@@ -24,9 +24,11 @@ MIN_WORDS = 20
 WINDOW = 8
 REPEAT_PERCENT = 30
 #: The method's own limits: repeats of at least so many words count, they may cover so much of the text, and none may be longer.
+#: The last is the published rule that a run of 50 tokens found again is a copy (Lee et al. 2022, "Deduplicating Training Data Makes Language
+#: Models Better"); a word is one token at least, so 50 words are.
 MIN_REPEAT = 4
 MAX_COVERED = 0.30
-MAX_LONGEST = 100
+MAX_LONGEST = 49
 
 SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 
