@@ -78,3 +78,17 @@ def test_dictionary_stands_in_a_skippable_frame_and_records_in_frames_of_their_o
     records = [block for _, block in warc_archive.read_archive(io.BytesIO(data))]
     bare = sum(len(zstandard.ZstdCompressor(level=3).compress(block)) for block in records)
     assert len(data) - size < bare  # the dictionary helps
+
+
+def test_dictionary_is_built_from_records_as_stored(spark, monkeypatch):
+    """A payload that a third of the rows share is in the sample once at most; its other rows are revisits there."""
+    rows = [(i, f"http://a/{i}", ("hot " * 40) if i % 3 == 0 else f"page {i} " * 20) for i in range(900)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    given = []
+    monkeypatch.setattr(warc_archive.zstandard, "train_dictionary", lambda size, records: given.extend(records) or zstandard.ZstdCompressionDict(b""))
+    warc_archive.build_dictionary(df)
+    roles = {row.page_id: row for row in warc_archive.with_roles(df).collect()}
+    stored = {warc_archive.record(x.page_id, x.url, x.html.encode(), x.digest, x.refers_to) for x in roles.values()}
+    assert len(given) == warc_archive.SAMPLE_ROWS and stored.issuperset(given)
+    revisits = [x for x in given if b"WARC-Type: revisit" in x]
+    assert len(revisits) > 80 and sum(b"hot hot" in x for x in given) <= 1

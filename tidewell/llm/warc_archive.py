@@ -1,7 +1,7 @@
 """WARC archives compressed record by record with a Zstandard dictionary.
 
-The dictionary is built from records of the archive (those of :data:`SAMPLE_ROWS` pages with the smallest hash of their id and URL, of at most
-:data:`SAMPLE_BYTES` bytes) and stands in a skippable frame at the head of every file, so each file can be read on its own. Every
+The dictionary is built from records of the archive as they are stored, responses with payload and revisits without (those of
+:data:`SAMPLE_ROWS` pages with the smallest hash of their id and URL, of at most :data:`SAMPLE_BYTES` bytes) and stands in a skippable frame at the head of every file, so each file can be read on its own. Every
 record is a frame of its own: any record can be read from its offset with the dictionary alone.
 
 Records with equal payloads of at least :data:`LEAST_BYTES` bytes are stored once: that of the smallest ``page_id`` is the response, the others
@@ -76,25 +76,40 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def with_roles(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``html``, ``digest`` and ``refers_to`` (null for responses)."""
+def with_digests(pages: DataFrame) -> DataFrame:
     html = F.coalesce(pages["html"].cast("string"), F.lit(""))
-    rows = pages.select(
-        pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest")
-    )
-    repeated = rows.where(F.octet_length("html") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("pages"))
+    return pages.select(
+        pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest"),
+        F.octet_length(html).alias("payload_bytes"),
+    )
+
+
+def with_roles(pages: DataFrame) -> DataFrame:
+    """``page_id``, ``url``, ``html``, ``digest``, ``payload_bytes`` and ``refers_to`` (null for responses)."""
+    rows = with_digests(pages)
+    repeated = rows.where(F.col("payload_bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("pages"))
     known = rows.join(repeated.where("pages > 1").select("digest", "first_id"), "digest", "left")
-    return known.select("page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"))
+    refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to")
+    return known.select("page_id", "url", "html", "digest", "payload_bytes", refers_to)
+
+
+def sample_records(pages: DataFrame) -> list[bytes]:
+    """Some records, as they are stored. Payloads are read for them alone; the rows that are shuffled for their roles have none."""
+    place = F.xxhash64("page_id", "url").alias("place")
+    rows = with_roles(pages).where(F.col("payload_bytes") <= SAMPLE_BYTES).select(place, "page_id", "url", "digest", "refers_to")
+    chosen = rows.orderBy("place", "page_id", "url", "digest").limit(SAMPLE_ROWS).toArrow().to_pylist()
+    if not chosen:
+        return []
+    same = with_digests(pages).select("html", "digest", place)
+    same = same.where(F.col("place").isin([x["place"] for x in chosen]) & F.col("digest").isin([x["digest"] for x in chosen]))
+    html = same.groupBy("digest").agg(F.first("html").alias("html")).toArrow().to_pylist()  # 50 MB at most
+    payloads = {x["digest"]: x["html"].encode() for x in html}
+    return [record(x["page_id"], x["url"], payloads[x["digest"]], x["digest"], x["refers_to"]) for x in chosen]
 
 
 def build_dictionary(pages: DataFrame) -> bytes:
     """A dictionary of some records; empty if there are too few to build one."""
-    html = F.coalesce(pages["html"].cast("string"), F.lit(""))
-    rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"))
-    rows = rows.where(F.octet_length("html") <= SAMPLE_BYTES)
-    order = [F.xxhash64("page_id", "url"), F.col("page_id"), F.col("url"), F.col("html")]
-    sample = rows.orderBy(*order).limit(SAMPLE_ROWS).toArrow().to_pylist()  # 50 MB at most
-    records = [record(x["page_id"], x["url"], x["html"].encode(), "0" * 64, None) for x in sample]
+    records = sample_records(pages)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, records).as_bytes()
     except zstandard.ZstdError:
@@ -166,7 +181,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
             writer.stream.close()
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([writer.records])], ["path", "records"])
 
-    return materialize(with_roles(pages).mapInArrow(task, "path string, records long"), "manifest")
+    return materialize(with_roles(pages).drop("payload_bytes").mapInArrow(task, "path string, records long"), "manifest")
 
 
 ROWS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string, payload binary"
