@@ -80,3 +80,18 @@ def test_awkward_rows(spark):
     assert [(v, round(s, 9)) for _, v, s in found[0]] == [(8, 1.0), (1, round(0.5**0.5, 9)), (9, round(0.5**0.5, 9))]
     assert found.keys() == {0}  # the only vector of three components has no candidate
     assert found_by(df.where("false")) == {}
+
+
+def recall_on_two_full_hashes(spark, dimension=8, count=27_000, every=100):
+    """Of the query with its own parameters, on normal vectors so many that tables have two hashes over all axes."""
+    assert polytope.axes_of(count, dimension)[:2] == [dimension, dimension]
+    vectors = np.random.default_rng(3).normal(size=(count, dimension))
+    rows = list(enumerate(vectors.tolist()))
+    found = found_by(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=every)
+    expected = plain(rows, lambda x: x % every == 0)
+    hits = sum(len({v for _, v, _ in found[q]} & {v for v, _ in near}) for q, near in expected.items())
+    return hits / (5 * len(expected))
+
+
+def test_recall_on_two_full_hashes(spark):
+    assert recall_on_two_full_hashes(spark) >= 0.9
