@@ -16,6 +16,7 @@ from tidewell.llm import (
     polytope,
     prefix_bpe,
     repetition,
+    term_skyband,
     token_store,
     url_cascade,
     warc_archive,
@@ -84,6 +85,10 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return links.select("doc_id", "class_id", "n_links", "n_text_links", "n_copies")
 
 
+def op13_term_skyband(spark: SparkSession, folder: str) -> DataFrame:
+    return term_skyband.audit(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -98,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_dictionary,
         op9_licence_sentences,
         op10_jaccard_join,
+        op13_term_skyband,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
@@ -135,4 +141,9 @@ from grouped
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_cascade": URL_SQL, "op8_warc_dictionary": WARC_SQL, "op9_licence_sentences": licence_rules.scan_sql()}
+    return {
+        "op1_url_cascade": URL_SQL,
+        "op8_warc_dictionary": WARC_SQL,
+        "op9_licence_sentences": licence_rules.scan_sql(),
+        "op13_term_skyband": term_skyband.audit_sql(),
+    }

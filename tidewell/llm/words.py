@@ -16,6 +16,13 @@ CHUNK_BYTES = 1 << 21
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that end a term of ASCII letters and other characters above ASCII; the second table lets digits stand in terms too.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+NO_LETTER_OR_DIGIT = NO_LETTER.copy()
+NO_LETTER_OR_DIGIT[0x30:0x3A] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -90,8 +97,9 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, Te
         at = to
 
 
-def split_words(texts: Texts) -> Words:
-    inside = ~_SPACE[texts.data]
+def split_words(texts: Texts, separators: np.ndarray = _SPACE) -> Words:
+    """Maximal runs of bytes that ``separators`` (a flag for each byte value, ASCII ones only) does not name."""
+    inside = ~separators[texts.data]
     filled = np.diff(texts.offsets) > 0
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
@@ -107,6 +115,18 @@ def split_words(texts: Texts) -> Words:
     return Words(texts, inside, start, end, text, np.searchsorted(start, texts.offsets))
 
 
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    """The bytes with A to Z in lower case and all others as they are."""
+    return _LOWER[data]
+
+
+def word_bytes(words: Words) -> pa.LargeBinaryArray:
+    """The words in order, A to Z in lower case; every word is exact, so Arrow's dictionaries count and compare them without hashes of ours."""
+    offsets = np.concatenate([[0], np.cumsum(words.end - words.start)]).astype(np.int64)
+    data = lower_ascii(words.texts.data[words.in_word])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span; spans are in order and do not overlap."""
     if not len(start):
