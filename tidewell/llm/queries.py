@@ -13,6 +13,7 @@ from tidewell.llm import (
     compression_score,
     jaccard_links,
     licence_rules,
+    norm_buckets,
     polytope,
     prefix_bpe,
     repetition,
@@ -85,6 +86,10 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return links.select("doc_id", "class_id", "n_links", "n_text_links", "n_copies")
 
 
+def op12_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return norm_buckets.search(_table(spark, folder, "benchmark"), _table(spark, folder, "documents"))
+
+
 def op13_term_skyband(spark: SparkSession, folder: str) -> DataFrame:
     return term_skyband.audit(_table(spark, folder, "documents"))
 
@@ -103,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_dictionary,
         op9_licence_sentences,
         op10_jaccard_join,
+        op12_norm_buckets,
         op13_term_skyband,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
@@ -145,5 +151,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_cascade": URL_SQL,
         "op8_warc_dictionary": WARC_SQL,
         "op9_licence_sentences": licence_rules.scan_sql(),
+        "op12_norm_buckets": norm_buckets.search_sql(),
         "op13_term_skyband": term_skyband.audit_sql(),
     }
