@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import (
     best_fit,
+    byte_contexts,
     compression_score,
     jaccard_links,
     licence_rules,
@@ -86,6 +87,10 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return links.select("doc_id", "class_id", "n_links", "n_text_links", "n_copies")
 
 
+def op11_byte_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_contexts.score(_table(spark, folder, "documents"))
+
+
 def op12_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return norm_buckets.search(_table(spark, folder, "benchmark"), _table(spark, folder, "documents"))
 
@@ -108,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_dictionary,
         op9_licence_sentences,
         op10_jaccard_join,
+        op11_byte_contexts,
         op12_norm_buckets,
         op13_term_skyband,
     ]
