@@ -87,9 +87,9 @@ def partial_counts(docs: DataFrame) -> DataFrame:
         lang, source = (rows.column(x).combine_chunks().dictionary_encode() for x in ("lang", "source"))
         group = lang.indices.to_numpy().astype(np.int64) * max(1, len(source.dictionary)) + source.indices.to_numpy()
         width = max(1, len(terms))
-        pairs, n = np.unique(group[words.text] * width + code, return_counts=True)
-        seen = np.unique(words.text * width + code)  # each term once for each text
-        docs_of = np.unique(group[seen // width] * width + seen % width, return_counts=True)[1]
+        held, times = np.unique(words.text * width + code, return_counts=True)  # each term once for each text
+        pairs, place, docs_of = np.unique(group[held // width] * width + held % width, return_inverse=True, return_counts=True)
+        n = np.bincount(place, times, minlength=len(pairs))  # below 2**53 in a slice
         group_of = pairs // width
         columns = [
             lang.dictionary.take(pa.array(group_of // max(1, len(source.dictionary)))),
