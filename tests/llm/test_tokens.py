@@ -7,11 +7,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewell.llm import best_fit, encoding, prefix_bpe, token_store
+from tidewell.llm.words import chunks
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 PARTS = list("abcdefghijklmnopqrstuvwxyzéÉßΣσς'") + [
@@ -30,19 +32,38 @@ def as_ids(data):
     return np.frombuffer(data, "<u4").tolist()
 
 
+def by_text(encoder, texts):
+    ((_, part),) = chunks(pa.array(texts), 1 << 30)
+    return [x.tolist() for x in encoder.encode(part)]
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-def test_memo_encoding_equals_the_library(texts, monkeypatch):
+def test_encoding_equals_the_library(texts):
     expected = [x.ids for x in Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)]
-    assert [as_ids(x) for x in encoding.encode_all(BYTES, texts)] == expected
-    monkeypatch.setattr(encoding, "MEMO_ENTRIES", 50)
-    small = encoding.Encoder(BYTES)
-    assert [as_ids(x) for at in range(0, 1000, 10) for x in small.encode(texts[at : at + 10])] == expected[:1000]
+    assert [x.tolist() for x in encoding.encode_all(BYTES, pa.array(texts))] == expected
     other = encoding.Encoder(WORDS)
-    assert not other.cuttable
-    assert [as_ids(x) for x in other.encode(texts[:200])] == [x.ids for x in other.tokenizer.encode_batch(texts[:200], add_special_tokens=False)]
+    assert encoding.Encoder(BYTES).engine and not other.engine
+    assert by_text(other, texts[:200]) == [x.ids for x in other.tokenizer.encode_batch(texts[:200], add_special_tokens=False)]
+
+
+def test_encoding_of_every_code_point_and_token():
+    library = Tokenizer.from_file(BYTES)
+    points = [chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]
+    texts = ["".join(f"a{x}1 {x}b\n{x}" for x in points[at : at + 8]) for at in range(0, len(points), 8)]
+    texts += list(library.decode_batch([[x] for x in range(library.get_vocab_size())], skip_special_tokens=False))
+    expected = [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert all(ours.tolist() == ids for ours, ids in zip(encoding.encode_all(BYTES, pa.array(texts)), expected, strict=True))
+
+
+@pytest.mark.parametrize("unit", ["x", "ab", " ", "\n ", "日本", "!?", "7", "\u3000"])
+def test_long_runs(unit):
+    """Runs on which the engine would be slow, beside texts that are not long."""
+    texts = ["short one", unit * 40_000, f"a {unit * 999} b", f"a {unit * 1001} b", "", "last"]
+    library = Tokenizer.from_file(BYTES)
+    assert by_text(encoding.encoder(BYTES), texts) == [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def test_prefix_encoding_equals_the_library(texts):

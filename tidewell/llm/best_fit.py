@@ -46,8 +46,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int =
         for batch in batches:
             rows: list[tuple] = []
             held = 0
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode_all(tokenizer, batch.column("text").to_pylist()), strict=True):
-                ids += end
+            for doc, own in zip(batch.column("doc_id").to_pylist(), encode_all(tokenizer, batch.column("text")), strict=True):
+                ids = own.tobytes() + end
                 n = len(ids) // 4
                 at, piece = 0, 0
                 while at < n:

@@ -1,109 +1,97 @@
-"""Token ids by a public byte-level tokenizer, with every distinct word encoded once per worker.
+"""Token ids by a public tokenizer, exactly as the ``tokenizers`` library gives them for its file.
 
-The byte-level pattern never joins a word to what stands before its leading space, nor anything to a line break between two other
-characters, so a text may be cut at single blanks and line breaks, and the ids of the parts are the ids of the text. Prose repeats its
-words, hence most parts are found in a memo. New words are encoded together, a line break between them: its id tells where each ends.
-Texts with runs of blanks or with other white space, and tokenizers of another build, are encoded whole.
+A byte-level BPE whose merges stand in the order of their ids is the same thing as a table of ranks, and the ``tiktoken`` engine encodes
+by such a table in half the time of the library. The ranks are built from the tokenizer's own file. Texts with a very long run of white space or
+of other characters, on which that engine is slow, and tokenizers of any other build are encoded by the library.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import tiktoken
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 600_000
-MEMO_KEY = 48
-_RARE_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+from tidewell.llm.words import Texts, chunks
 
+SLICE_BYTES = 1 << 20
+LONG_RUN = 1000
+#: Fixed value: the published pattern of byte-level pre-tokenization, as the libraries have it built in.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-def _cuttable(path: str) -> bool:
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The character that stands for each byte in the vocabulary: printable ones for themselves, the others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [x for x in range(256) if x not in printable]
+    return {chr(x): x for x in printable} | {chr(256 + at): x for at, x in enumerate(others)}
+
+
+def ranks_of(path: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Ranks and special tokens of a tokenizer's file, or nothing if it is more than a table of ranks."""
     with open(path, encoding="utf-8") as file:
         parts = json.load(file)
-    pre = parts.get("pre_tokenizer") or {}
+    pre, model, added = parts.get("pre_tokenizer") or {}, parts["model"], parts.get("added_tokens") or []
     plain = all(parts.get(x) is None for x in ("normalizer", "post_processor", "truncation", "padding"))
     byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-    specials = all(not re.search(r"\s", x["content"]) and not x["lstrip"] and not x["rstrip"] for x in parts.get("added_tokens") or [])
-    return bool(plain and byte_level and specials)
+    extras = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    simple = model.get("type") == "BPE" and not any(model.get(x) for x in extras)
+    exact = all(x["special"] and not (x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"]) for x in added)
+    if not (plain and byte_level and simple and exact):
+        return None
+    specials, alphabet = {x["content"]: x["id"] for x in added}, byte_alphabet()
+    ranks = {bytes(map(alphabet.__getitem__, x)): rank for x, rank in model["vocab"].items() if x not in specials}
+    pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+    merged = [model["vocab"]["".join(x)] for x in pairs]
+    in_order = merged == sorted(merged) and len(ranks) == 256 + len(set(merged)) and sorted(ranks.values()) == list(range(len(ranks)))
+    return (ranks, specials) if in_order and all(bytes([x]) in ranks for x in range(256)) else None
 
 
 class Encoder:
-    """Ids as little-endian 32-bit integers, exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+    """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them, without truncation and padding."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cuttable = _cuttable(path) and len(line_break) == 1
-        self.line_break = np.array(line_break, "<u4").tobytes()
-        # After a letter or digit these signs are always encoded for themselves, so words are stored without them.
-        self.signs = {x: self._ids([x])[0] for x in ",."} if self.cuttable else {}
-        self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        found = ranks_of(path)
+        self.engine = found and tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=found[0], special_tokens=found[1])
+        self.specials = set(found[1]) if found else set()
 
     @property
     def vocabulary_size(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, new: list[str]) -> Iterable[tuple[str, bytes]]:
-        """Ids of new words, encoded as one text in which a line break begins each of them."""
-        after_blank = [x for x in new if x[0] != "\n"]
-        after_break = [x for x in new if x[0] == "\n"]
-        data = self._ids(["".join([*(f"\n {x}" for x in after_blank), *after_break])])[0]
-        starts = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == int.from_bytes(self.line_break, "little"))
-        bounds = [*starts.tolist(), len(data)]
-        for place, word in enumerate(after_blank):
-            yield word, data[bounds[place] + 4 : bounds[place + 1]]
-        for place, word in enumerate(after_break, len(after_blank)):
-            yield word, data[bounds[place] : bounds[place + 1]]
-
-    def _remember(self, words: set[str]) -> list[str]:
-        """Put ``words`` into the memo; returns those too long to stay. A word stands for itself after a blank, or begins with a line break."""
-        signs, memo = self.signs, self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        memo[""] = b""
-        new = words.difference(memo)
-        signed = [x for x in new if x[-1] in signs and x[-2:-1].isalnum()]
-        stored = new.difference(signed).union([x[:-1] for x in signed]).difference(memo)
-        memo.update(self._learn(list(stored)))
-        memo.update([(x, memo[x[:-1]] + signs[x[-1]]) for x in signed])
-        return [x for x in new.union(stored) if len(x) > MEMO_KEY]
-
-    def _is_plain(self, text: str) -> bool:
-        odd = "  " in text or "\n " in text or " \n" in text or "\n\n\n" in text or text[0] == " " or text.endswith((" ", "\n\n"))
-        return not odd and not _RARE_SPACE.search(text) and not any(x in text for x in self.specials)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        cut = {}
-        for at, text in enumerate(texts):
-            if self.cuttable and text and self._is_plain(text):
-                # The text after a line break of its own, whose id is taken off again; the first part is empty.
-                cut[at] = f"\n{text}".replace("\n", " \n").split(" ")
-        whole = [at for at in range(len(texts)) if at not in cut]
-        for at, ids in zip(whole, self._ids([texts[at] for at in whole]), strict=True):
-            out[at] = ids
-        words: set[str] = set()
-        for parts in cut.values():
-            words.update(parts)
-        long = self._remember(words)
-        find, skip = self.memo.__getitem__, len(self.line_break)
-        for at, parts in cut.items():
-            out[at] = b"".join(map(find, parts))[skip:]
-        for word in long:
-            del self.memo[word]
+    def has_long_run(self, texts: Texts) -> np.ndarray:
+        """Which texts have more than :data:`LONG_RUN` bytes of white space, or of anything else, in a row."""
+        space = _SPACE[texts.data]
+        turns = np.flatnonzero(space[1:] != space[:-1]) + 1
+        # Runs may reach over the ends of texts; only what lies inside counts.
+        start = np.unique(np.concatenate([[0], turns, texts.offsets[:-1]]))
+        start = start[start < len(texts.data)]
+        long = start[np.diff(np.append(start, len(texts.data))) > LONG_RUN]
+        out = np.zeros(len(texts), bool)
+        out[np.searchsorted(texts.offsets, long, "right") - 1] = True
         return out
 
+    def encode(self, texts: Texts) -> Iterator[np.ndarray]:
+        """Ids of each text."""
+        by_library = self.has_long_run(texts) if self.engine else np.ones(len(texts), bool)
+        data, bounds = texts.data.tobytes(), texts.offsets.tolist()
+        for start, end, library in zip(bounds[:-1], bounds[1:], by_library.tolist(), strict=True):
+            text = data[start:end].decode()
+            if library:
+                yield np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            else:
+                yield self.engine.encode_to_numpy(text, allowed_special=self.specials, disallowed_special=())
+
 
 @cache
 def encoder(path: str) -> Encoder:
@@ -126,9 +114,8 @@ def slices(texts: list[str], limit: int = 1 << 22) -> Iterable[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode_all(path: str, texts: list[str | None]) -> Iterable[bytes]:
-    """Ids of each text in turn; null counts as empty."""
-    texts = [x or "" for x in texts]
+def encode_all(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each text of a column in turn, as little-endian 32-bit integers; null counts as empty."""
     held = encoder(path)
-    for start, end in slices(texts):
-        yield from held.encode(texts[start:end])
+    for _, part in chunks(texts, SLICE_BYTES):
+        yield from held.encode(part)

@@ -146,9 +146,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
             if batch.num_rows and writer is None:
                 path, stream = create(folder, f"shard-{TaskContext.get().partitionId():06d}")
                 writer = ShardWriter(stream, width_for(max(encoder(tokenizer).vocabulary_size, end_id + 1)))
-            texts = batch.column("text").to_pylist()
-            for document, ids in zip(batch.column("doc_id").to_pylist(), encode_all(tokenizer, texts), strict=True):
-                writer.add(document, np.append(np.frombuffer(ids, "<u4"), end))
+            for document, ids in zip(batch.column("doc_id").to_pylist(), encode_all(tokenizer, batch.column("text")), strict=True):
+                writer.add(document, np.append(ids, end))
         if writer:
             writer.close()
             row = [[TaskContext.get().partitionId()], [path], [len(writer.documents)], [writer.ids]]
