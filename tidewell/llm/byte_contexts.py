@@ -126,9 +126,11 @@ class Counts:
     def add(self, texts: Texts, train: np.ndarray, order: int) -> None:
         """``texts`` are normalised; ``train`` tells which of them teach."""
         key, text = windows(texts, order)
-        found, place = np.unique(key, return_inverse=True)
-        n = np.bincount(place, train[text], minlength=len(found)).astype(np.int64)
-        self.keys, self.key_n = _merged(np.append(self.keys, found), np.append(self.key_n, n))
+        teaches = train[text]
+        taught, n = np.unique(key[teaches], return_counts=True)
+        others = np.unique(key[~teaches])
+        none = np.zeros(len(others), np.int64)
+        self.keys, self.key_n = _merged(np.concatenate([self.keys, taught, others]), np.concatenate([self.key_n, n, none]))
         words = split_words(texts)
         coded = word_bytes(words).dictionary_encode()
         codes = coded.indices.to_numpy()
