@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from tidewell.llm import licence_rules
@@ -82,6 +84,40 @@ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
 AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
 """,
 }
+PUBLISHED["ISC"] = """\
+Copyright 2024 Someone
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+PUBLISHED["MPL-2.0"] = """\
+Copyright 2024 Someone
+
+This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+for name, kind in (("LGPL-3.0", "Lesser"), ("AGPL-3.0", "Affero")):
+    PUBLISHED[name] = PUBLISHED["GPL-3.0"].replace("GNU General", f"GNU {kind} General")
+PUBLISHED["Unlicense"] = """\
+Copyright 2024 Someone
+
+This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+"""
 HEAD, _, TAIL = PUBLISHED["BSD-3-Clause"].partition("3. Neither")
 PUBLISHED["BSD-2-Clause"] = HEAD + TAIL[TAIL.index("THIS SOFTWARE") :]
 
@@ -150,3 +186,12 @@ def test_what_is_no_licence(spark):
     assert scanned(spark, texts) == [("", 0)] * len(texts)
     counts = licence_rules.scan(spark.createDataFrame([(1, bsd)], "doc_id long, text string")).collect()
     assert counts[0].n_sentences == 3
+
+
+@pytest.mark.parametrize("unit", [".", "!?", " ", "\n", "\t", ". ", "\n1. ", "1.", "a) ", "x ", "x.\n\n"])
+def test_time_is_in_proportion_to_length(spark, unit):
+    """A million characters of one kind, with a notice behind them."""
+    texts = [unit * (1_000_000 // len(unit)) + "\n\nLicensed under CC BY 4.0.\n"]
+    started = time.monotonic()
+    assert scanned(spark, texts) == [("CC-BY-4.0", 1)]
+    assert time.monotonic() - started < 60

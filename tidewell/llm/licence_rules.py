@@ -34,6 +34,20 @@ RULES: list[tuple[str, str, str]] = [
         " Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission"
         " notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT"
         " WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
+        " PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR"
+        " OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR"
+        " THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    # The same as it is often quoted, without its last sentence.
+    (
+        "MIT",
+        "excerpt",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
+        " files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy,"
+        " modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
+        " Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission"
+        " notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT"
+        " WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
         " PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     ),
     ("MIT", "notice", "Released under the MIT License."),
@@ -76,6 +90,45 @@ RULES: list[tuple[str, str, str]] = [
         " following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
         " and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ),
+    (
+        "ISC",
+        "text",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided"
+        " that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR"
+        " DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT"
+        " SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS"
+        " OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH"
+        " THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "MPL-2.0",
+        "text",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with"
+        " this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "LGPL-3.0",
+        "text",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as"
+        " published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This"
+        " program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+        " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    ),
+    (
+        "AGPL-3.0",
+        "text",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as"
+        " published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This"
+        " program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+        " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    ),
+    (
+        "Unlicense",
+        "text",
+        "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile,"
+        " sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or"
+        " non-commercial, and by any means.",
+    ),
     ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "notice", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0."),
@@ -99,7 +152,8 @@ def normalised(text: Column) -> Column:
     lines = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), UPPER + "\r", LOWER + "\n")
     steps = [
         (LIST_NUMBER, f"$1$2{NUMBER}\n"),
-        (r"[.!?]+(?=[ \t\n\f])", END),
+        # Possessive, and only from the first mark of a run: a long run without white space after it is looked at once.
+        (r"(?<![.!?])[.!?]++(?=[ \t\n\f])", END),
         (r"[^a-z0-9NS\n]+", " "),
         (r" ?\n[ \n]*\n ?", BLANK_LINES),
         (r" ?\n ?", "\n"),
