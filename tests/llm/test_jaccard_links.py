@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -104,6 +105,33 @@ def test_awkward_rows(awkward, no_rows):
     assert ours(no_rows) == [] and jaccard_links.keep_one(no_rows).collect() == []
 
 
+def test_null_and_repeated_ids_are_not_multiplied(spark):
+    """Thousands of different texts under no id, or under one, take no more work than under their own."""
+    texts = [" ".join(f"w{(i * 7919 + j) % 4001}" for j in range(i, i + 12)) for i in range(3000)]
+    found = []
+    for ids in ([None] * 3000, [7] * 3000, range(3000)):
+        rows = [row for doc_id, text in zip(ids, texts, strict=True) for row in ((doc_id, text), (doc_id, text + " more"))]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        started = time.monotonic()
+        found.append((sorted((x.n_links, x.n_text_links) for x in jaccard_links.classes(df).collect()), time.monotonic() - started))
+    assert found[0][0] == found[1][0] == found[2][0]
+    assert max(found[0][1], found[1][1]) < 3 * found[2][1] + 5
+
+
+def test_keep_one_takes_any_column_names_and_defined_ties(spark):
+    names = ["row", "place", "id", "no_id", "set_a", "row key", "set key a", "set key b", "first", "unnamed"]
+    text = "one two three four five six"
+    rows = [(3, text, {"k": i}, *(f"{name} {i}" for name in names)) for i in range(40)] + [(9, text, {"k": 1}, *names)]
+    schema = "doc_id long, text string, m map<string, int>, " + ", ".join(f"`{x}` string" for x in names)
+    kept = []
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, schema).repartition(parts)
+        out = jaccard_links.keep_one(df)
+        assert out.columns == df.columns
+        kept.append([tuple(x) for x in out.collect()])
+    assert kept[0] == kept[1] and len(kept[0]) == 1 and kept[0][0] in rows[:40]
+
+
 def test_texts_below_five_words(spark):
     rows = [(1, "a b c"), (2, "A  b c"), (3, "a b"), (4, "a b c d"), (5, None)]
     assert ours(spark.createDataFrame(rows, "doc_id long, text string")) == plain(rows)

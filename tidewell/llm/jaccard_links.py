@@ -15,7 +15,10 @@ comparisons, which counting the links of each asks for; the rows moved grow as n
 
 Defined results: null and empty texts, and texts without words, have no shingles: they are linked to nothing and form a class
 each. Repeated rows are copies. A null ``doc_id`` counts as a document but never names a class unless no member has an id.
-Other columns are ignored, whatever their names.
+Other columns are ignored, whatever their names. Of rows that share both their id and their set of shingles :func:`keep_one` keeps the one with the
+least 64-bit hash of its columns (maps aside).
+
+Words and shingles are compared by 64-bit hashes, sets by 128 bits; n different shingles in two texts are confused with a chance of n * n / 2**64.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -87,7 +90,7 @@ def set_keys(hashes: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
     return keys
 
 
-FINGERPRINT = "doc_id long, set_a long, set_b long, n_shingles int, signature binary"
+FINGERPRINT = "doc_id long, text_key long, set_a long, set_b long, n_shingles int, signature binary"
 
 
 def _fingerprint_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -100,13 +103,13 @@ def _fingerprint_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         binary = np.full(len(texts), None, object)
         binary[full] = [row.tobytes() for row in signed]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").slice(at, len(texts)), *keys, pa.array(size.astype(np.int32)), pa.array(binary, pa.binary())],
-            ["doc_id", "set_a", "set_b", "n_shingles", "signature"],
+            [*(batch.column(x).slice(at, len(texts)) for x in ("doc_id", "text_key")), *keys, pa.array(size.astype(np.int32)), pa.array(binary, pa.binary())],
+            ["doc_id", "text_key", "set_a", "set_b", "n_shingles", "signature"],
         )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per document: a 128-bit key of its shingle set, the size of the set, and its signature."""
+    """One row per document: a hash of its text, a 128-bit key of its shingle set, the size of the set, and its signature."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,7 +120,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    text = docs["text"].cast("string")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
@@ -306,7 +310,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = (
         prints.where("n_shingles > 0")
         .groupBy(*key, "signature")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            # One of the rows with these shingles: those with an id come first.
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("one"),
+            F.count("*").alias("n_copies"),
+        )
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = materialize(nodes, "nodes")
@@ -317,7 +326,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = materialize(candidate_members(met, threshold), "members")
 
     wanted = members.select("node").distinct().join(nodes, "node")
-    texts = _texts_of(_narrow(docs), wanted.withColumn("doc_id", F.coalesce("first_id", F.lit(-1))), key)
+    texts = _texts_of(_narrow(docs), wanted.select("*", F.coalesce("one.doc_id", F.lit(-1)).alias("doc_id"), "one.text_key"), key)
     linked = materialize(verified(members.join(texts, "node"), threshold), "links")
 
     root = components(linked.select("node", F.col("root").alias("other")))
@@ -354,9 +363,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame:
-    """``wanted`` with the text of its first document. Where ids repeat, the text whose set has the key of the node is taken."""
+    """``wanted`` with the text of one of its documents.
+
+    They meet on the id and the hash of the text, so rows without an id, or with one that repeats, are told apart. Should two texts of one
+    id have one hash, the one whose set has the key of the node is taken.
+    """
     columns = ["text", "node", *key, "signature", "n_copies"]
-    met = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1))).join(wanted, "doc_id").select(columns)
+    met = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1))).join(wanted, ["doc_id", "text_key"]).select(columns)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,20 +391,23 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class (the one with the smallest id) with all its columns; documents without words all stay."""
     found = classes(docs, threshold).where("root is not null")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_a", "set_b")
-    first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
-    row_key = lambda *names: F.concat_ws(":", *(F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in names))
-    stay = first.select(row_key("doc_id", "set_a", "set_b").alias("row key"))
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    key = ["no_id", "id", "set_a", "set_b"]
+    stay = first.select(F.col("first.unnamed").alias("no_id"), F.coalesce("first.doc_id", F.lit(0)).alias("id"), "first.set_a", "first.set_b")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in chunks(lower(batch.column("text"))):
-                part = batch.slice(at, len(texts))
+            for at, texts in chunks(lower(batch.column("row").field("text"))):
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *set_keys(*shingle_sets(texts))], [*part.schema.names, "set key a", "set key b"]
+                    [batch.column("row").slice(at, len(texts)), *set_keys(*shingle_sets(texts))], ["row", "set_a", "set_b"]
                 )
 
-    worded = docs.where(_has_word())
-    keyed = worded.mapInArrow(task, StructType([*worded.schema, StructField("set key a", LongType()), StructField("set key b", LongType())]))
-    keyed = keyed.withColumn("row key", row_key("doc_id", "set key a", "set key b"))
-    kept = keyed.join(stay, "row key", "left_semi").dropDuplicates(["row key"]).select(docs.columns)
+    # The caller's row travels as one value, so its column names cannot clash with ours.
+    worded = docs.where(_has_word()).select(F.struct(*(docs[x] for x in docs.columns)).alias("row"))
+    keyed = worded.mapInArrow(task, StructType([*worded.schema, StructField("set_a", LongType()), StructField("set_b", LongType())]))
+    own_id = F.col("row.doc_id").cast("long")
+    keyed = keyed.withColumns({"no_id": own_id.isNull(), "id": F.coalesce(own_id, F.lit(0))}).join(stay, key, "left_semi")
+    hashed = [F.col("row")[x.name] for x in docs.schema if "map<" not in x.dataType.simpleString()]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*hashed)))
+    kept = keyed.withColumn("place", place).where("place = 1").select("row.*")
     return kept.unionByName(docs.where(~_has_word()))
