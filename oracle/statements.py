@@ -636,6 +636,47 @@ CONSTRAINTS = {
 }
 
 
+# View, key (none for the fact, whose rows are not numbered there) and required columns of each warehouse table.
+WAREHOUSE_CONSTRAINTS = {
+    "dim_time": (
+        "w_time",
+        "time_key",
+        "date_val day day_name week month month_name quarter year is_weekend holiday_flag time_of_day hour".split(),
+    ),
+    "dim_customer": ("w_customer", "customer_key", ["customer_id", "effective_from", "is_current"]),
+    "dim_tariff": ("w_tariff", "tariff_key", ["tariff_id", "tariff_name", "tariff_type", "monthly_fee"]),
+    "dim_event": ("w_event", "event_key", ["event_name", "event_category", "is_chargeable", "fraud_risk_level"]),
+    "dim_channel": ("w_channel", "channel_key", ["channel_name", "channel_type"]),
+    "dim_location": ("w_location", "location_key", ["location_id"]),
+    "fact_usage_events": (
+        "w_fact",
+        None,
+        (
+            "customer_key time_key tariff_key event_key channel_key location_key call_count sms_count total_call_duration_sec"
+            " total_data_volume_mb revenue_amount roaming_revenue international_revenue discount_amount fraud_score event_count"
+        ).split(),
+    ),
+}
+
+
+def _warehouse_constraints() -> str:
+    lines = []
+    for table, (view, key, required) in WAREHOUSE_CONSTRAINTS.items():
+        head = f"select '{table}' as table_name, '{{name}}' as constraint_name, "
+        lines += [head.format(name=f"not null {x}") + f"count(*) filter ({x} is null) as violations from {view}" for x in [*([key] if key else []), *required]]
+        if key:
+            lines.append(head.format(name=f"unique {key}") + f"(select count(*) from (select {key} from {view} where {key} is not null group by 1 having count(*) > 1))")
+    return " union all ".join(lines)
+
+
+GAP_DAYS = """select a.customer_id, a.effective_from, a.effective_to, min(b.effective_from) as next_from,
+    min(b.effective_from) - a.effective_to as gap_days, any_value(a.n_versions) as n_versions
+    from (select customer_id, effective_from, case when not is_current then effective_to end as effective_to, count(*) as n_versions
+        from v_customer_history group by all) a
+    join v_customer_history b on b.customer_id = a.customer_id and b.effective_from > a.effective_from
+    group by a.customer_id, a.effective_from, a.effective_to having min(b.effective_from) - a.effective_to > 1"""
+
+
 def _constraint_suite() -> str:
     lines = []
     for table, (key, required, values, unique) in CONSTRAINTS.items():
@@ -651,7 +692,12 @@ def _constraint_suite() -> str:
 
 
 def statements() -> dict[str, str]:
-    bodies = MAIN | _suites() | _reconciliation() | {"constraint_suite": _constraint_suite(), "br_15_adjacent": ADJACENT}
+    bodies = MAIN | _suites() | _reconciliation() | {
+        "constraint_suite": _constraint_suite(),
+        "constraint_suite_dwh": _warehouse_constraints(),
+        "br_15_adjacent": ADJACENT,
+        "scd2_gap_days": GAP_DAYS,
+    }
     on_history = checks("v_customer_history")
     for rule, body in checks().items():
         name = rule.lower().replace("-", "_")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+import threading
 from collections import Counter
 from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidewell.operators.rollup import GRAIN, MEASURES
@@ -15,6 +18,7 @@ from tidewell.plans.checks import Bounds
 from tidewell.plans.fixture_tables import FixtureTables
 from tidewell.session import scratch_root
 from tidewell.sources.files import read_parquet, write_csv, write_parquet_stamped
+from tidewell.sources.snapshots import CommitConflict, SnapshotTable
 from tidewell.sources.tables import Warehouse, query
 
 OPERATIONAL = ("region", "operator", "tariff", "customer", "device", "contract", "location", "payment", "invoice")
@@ -96,6 +100,124 @@ def test_overwrite_of_a_partitioned_table(warehouse):
     assert warehouse.count("fact_usage_events") == len(rows)
 
 
+def test_a_replacement_has_no_gap(warehouse, monkeypatch):
+    """A reader that polls always finds one version or the other; a failure before the commit leaves the old contents."""
+    kept = warehouse.read("fact_usage_events")
+    rows, schema = kept.collect(), kept.schema
+    few = warehouse.spark.createDataFrame(rows[:5], schema)
+    table, seen, stop = warehouse.snapshots("fact_usage_events"), [], threading.Event()
+
+    def poll():
+        while not stop.is_set():
+            commit = table.current()
+            seen.append((commit.number, sum(map(len, commit.folders.values()))))
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for contents in (few, warehouse.spark.createDataFrame(rows, schema)):
+        warehouse.overwrite(contents, "fact_usage_events")
+    stop.set()
+    reader.join()
+    assert len(seen) > 3 and all(folders for _, folders in seen) and seen == sorted(seen, key=lambda x: x[0])
+
+    def broken(self, commit):
+        raise RuntimeError("injected")
+
+    before, folders = table.current(), sorted(Path(table.data).glob("day=*/v=*"))
+    monkeypatch.setattr(SnapshotTable, "_publish", broken)
+    for change in (lambda: warehouse.overwrite(few, "fact_usage_events"), lambda: warehouse.append(few, "fact_usage_events")):
+        with pytest.raises(RuntimeError, match="injected"):
+            change()
+    monkeypatch.undo()
+    assert table.current() == before and sorted(Path(table.data).glob("day=*/v=*")) == folders
+    assert warehouse.count("fact_usage_events") == len(rows)
+
+
+def test_of_two_writers_one_commits(warehouse):
+    table = warehouse.snapshots("fact_usage_events")
+    now = table.current()
+    table._publish(now)
+    with pytest.raises(CommitConflict):
+        table._publish(now)
+    assert table.current().folders == now.folders
+
+
+def test_extract_reads_the_days_of_its_window_only(warehouse):
+    window = load_run.extract(warehouse, *WEEK)
+    days = {x.rsplit("day=", 1)[1][:8] for x in window.inputFiles()}
+    assert days and all("20240108" <= x <= "20240114" for x in days)
+    everything = load_run.in_window(warehouse.read("cdr"), *WEEK)
+    plan = everything._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(event_datetime), GreaterThanOrEqual(event_datetime" in plan
+    assert everything.count() == window.count() > 0
+
+
+def test_other_file_layouts_keep_the_same_copies(warehouse):
+    """Copies with other contents under one id, in two orders and file sizes, and exact copies."""
+    kept = warehouse.read("cdr")
+    rows, schema = kept.collect(), kept.schema
+    day = [x for x in rows if x.day and 20240108 <= x.day <= 20240114]
+    other = [Row(**(x.asDict() | {"cost": (x.cost or 0) + 1, "contract_id": 7})) for x in day[:40]]
+    found = []
+    for seed, parts in ((1, 1), (2, 7)):
+        mixed = day + other + day[:20] * 5
+        random.Random(seed).shuffle(mixed)
+        warehouse.overwrite(warehouse.spark.createDataFrame(mixed, schema).repartition(parts), "cdr")
+        load_run.run(warehouse, *WEEK, run_id=f"layout {seed}")
+        staged = warehouse.read("stg_cdr").drop("src_seq")
+        found.append((facts(warehouse), sorted(map(repr, staged.collect()))))
+        assert staged.where("etl_status = 'VALID'").groupBy("cdr_id").count().where("count > 1").isEmpty()
+    assert found[0] == found[1]
+    warehouse.overwrite(warehouse.spark.createDataFrame(rows, schema), "cdr")
+
+
+def test_writes_and_keys_of_a_load(warehouse, monkeypatch):
+    """One write of staging; the fact is written twice, numbered and final; keys follow on without a gap, whatever is retried."""
+    written = []
+    monkeypatch.setattr(SnapshotTable, "_publish", lambda self, commit, old=SnapshotTable._publish: (written.append(Path(self.folder).name), old(self, commit)))
+    cut = load_run.stamp_sorted
+    monkeypatch.setattr(load_run, "stamp_sorted", lambda df, order: (written.append("numbered"), cut(df, order))[1])
+    last = warehouse.last_key("fact_usage_events")
+    audit = load_run.run(warehouse, *WEEK, run_id="counted")
+    assert written == ["stg_cdr", "numbered", "fact_usage_events"]
+    keys = sorted(x[0] for x in warehouse.read_days("fact_usage_events", 20240108, 20240114).select("usage_event_key").collect())
+    assert keys == list(range(last + 1, last + 1 + audit["fact_rows"])) and warehouse.last_key("fact_usage_events") == keys[-1]
+
+
+def test_a_stopped_run_goes_on(warehouse, monkeypatch):
+    whole = load_run.run(warehouse, *WEEK, run_id="whole")
+    lines = warehouse.count("etl_audit")
+
+    def stop(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load_run, "load_fact", stop)
+        with pytest.raises(RuntimeError, match="killed"):
+            load_run.run(warehouse, *WEEK, run_id="resumed")
+    with monkeypatch.context() as patch:
+        patch.setattr(load_run, "run_suite", stop)  # the audit line is written by then
+        patch.setattr(load_run, "load_staging", stop)
+        patch.setattr(load_run, "load_dimensions", stop)
+        with pytest.raises(RuntimeError, match="killed"):
+            load_run.run(warehouse, *WEEK, run_id="resumed")
+        assert warehouse.count("etl_audit") == lines + 1
+        patch.undo()
+        for name in ("load_staging", "load_dimensions", "load_fact"):
+            patch.setattr(load_run, name, stop)
+        resumed = load_run.run(warehouse, *WEEK, run_id="resumed")
+    assert warehouse.count("etl_audit") == lines + 1
+    assert resumed | {"run_id": ""} == whole | {"run_id": ""}
+    # A run whose staging another load has replaced begins again.
+    with monkeypatch.context() as patch:
+        patch.setattr(load_run, "load_fact", stop)
+        with pytest.raises(RuntimeError, match="killed"):
+            load_run.run(warehouse, *WEEK, run_id="overtaken")
+    load_run.run(warehouse, date(2024, 1, 15), date(2024, 1, 16), run_id="between")
+    again = load_run.run(warehouse, *WEEK, run_id="overtaken")
+    assert again["extracted"] == whole["extracted"] and again["fact_rows"] == whole["fact_rows"]
+
+
 def test_days_that_lost_their_rows_are_dropped(warehouse):
     load_run.run(warehouse, *WEEK, run_id="full")
     whole = facts(warehouse)

@@ -329,3 +329,30 @@ def test_scratch_folder_must_be_shared_on_a_cluster(spark):
     with pytest.raises(RuntimeError):
         scratch_root(Elsewhere)
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_the_newest_row_of_an_entity_is_kept(spark):
+    rows = [(1, "a", date(2024, 1, 1)), (1, "b", date(2024, 3, 1)), (1, "c", None), (2, "z", None), (2, "y", None), (3, "x", date(2023, 1, 1))]
+    df = spark.createDataFrame(rows, "customer_id int, segment string, created_at date")
+    for parts in (1, 3):
+        kept = dimensions.one_per_entity(df.repartition(parts), newest_by="created_at")
+        assert sorted(tuple(x) for x in kept.select("customer_id", "segment").collect()) == [(1, "b"), (2, "y"), (3, "x")]
+
+
+def test_gap_days(spark):
+    day = date(2024, 1, 1)
+    rows = [
+        (1, day, date(2024, 1, 9), False),
+        (1, date(2024, 1, 10), date(2024, 1, 15), False),  # follows at once
+        (1, date(2024, 1, 20), None, True),
+        (2, day, date(2024, 1, 3), False),
+        (2, day, date(2024, 1, 3), False),
+        (2, date(2024, 2, 1), None, True),
+        (3, day, None, True),
+    ]
+    df = spark.createDataFrame(rows, "customer_id int, effective_from date, effective_to date, is_current boolean")
+    found = sorted(tuple(x) for x in intervals.version_gaps(df).collect())
+    assert found == [
+        (1, date(2024, 1, 10), date(2024, 1, 15), date(2024, 1, 20), 5, 1),
+        (2, day, date(2024, 1, 3), date(2024, 2, 1), 29, 2),
+    ]

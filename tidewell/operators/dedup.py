@@ -22,15 +22,27 @@ def repeated_keys(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     )
 
 
-def mark_repeats(df: DataFrame, keys: list[str], sequence: str, flag: str) -> DataFrame:
-    """Flag every row but the first of its key; NULL keys are equal. ``sequence`` must be unique.
+def repeated_keys_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """As :func:`repeated_keys`, where several columns together give the sequence (``_first`` is then a struct).
+
+    The repeated keys are found on the key columns alone, by hash; only their rows enter the aggregate over the whole order.
+    """
+    counted = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    copies = df.join(counted, _same_key(df, counted, keys), "left_semi")
+    return copies.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.struct(*order)).alias("_first"))
+
+
+def mark_repeats(df: DataFrame, keys: list[str], sequence: str | list[str], flag: str) -> DataFrame:
+    """Flag every row but the first of its key; NULL keys are equal. ``sequence`` (a column, or several that are compared in turn) must be unique.
 
     Only keys with copies reach the join, so its right side is as small as the data is clean. How the join runs is left to
     adaptive execution, which knows the size of that side. A hot key is never gathered: its rows stay on the
     streamed side, which adaptive execution splits.
     """
-    repeats = repeated_keys(df, keys, sequence)
-    later = F.coalesce(F.col(sequence) > F.col("_first"), F.lit(False))
+    single = isinstance(sequence, str)
+    repeats = repeated_keys(df, keys, sequence) if single else repeated_keys_by(df, keys, sequence)
+    here = F.col(sequence) if single else F.struct(*sequence)
+    later = F.coalesce(here > F.col("_first"), F.lit(False))
     joined = df.join(repeats, _same_key(df, repeats, keys), "left")
     return joined.withColumn(flag, later).drop("_first", *[f"_{k}" for k in keys])
 

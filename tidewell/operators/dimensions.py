@@ -81,8 +81,12 @@ def overwrite_by_key(existing: DataFrame, source: DataFrame, key: str) -> DataFr
     return source.unionByName(existing.join(source, key, "left_anti"))
 
 
-def one_per_entity(source: DataFrame, entity: str = "customer_id") -> DataFrame:
-    return keep_first(source, [entity], [])
+def one_per_entity(source: DataFrame, entity: str = "customer_id", newest_by: str | None = None) -> DataFrame:
+    """One row for each entity: the newest by the date or timestamp ``newest_by`` (rows without one come last), then by the other columns."""
+    if newest_by is None:
+        return keep_first(source, [entity], [])
+    age = F.coalesce(-F.unix_micros(F.col(newest_by).cast("timestamp")), F.lit((1 << 63) - 1))
+    return keep_first(source.withColumn("_age", age), [entity], ["_age"]).drop("_age")
 
 
 def ambiguous_entities(dimension: DataFrame, entity: str = "customer_id") -> DataFrame:

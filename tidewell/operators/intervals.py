@@ -73,6 +73,18 @@ def adjacent_version_gaps(versions: DataFrame, entity: str = "customer_id") -> D
     return gaps.groupBy(entity).agg(F.sum("n_rows").alias("violations"))
 
 
+def version_gaps(versions: DataFrame, entity: str = "customer_id") -> DataFrame:
+    """Closed versions whose next version starts more than a day after their end, with the days between (``gap_days``).
+
+    Versions of one span are one row with their number. The next version is the first that starts later.
+    """
+    spans = versions.groupBy(entity, "effective_from", F.when(~F.col("is_current"), F.col("effective_to")).alias("effective_to"))
+    later = Window.partitionBy(entity).orderBy(F.unix_date("effective_from")).rangeBetween(1, Window.unboundedFollowing)
+    steps = spans.agg(F.count(F.lit(1)).alias("n_versions")).withColumn("next_from", F.min("effective_from").over(later))
+    gaps = steps.withColumn("gap_days", F.date_diff("next_from", "effective_to")).where("gap_days > 1")
+    return gaps.select(entity, "effective_from", "effective_to", "next_from", "gap_days", "n_versions")
+
+
 def billing_months(contract: DataFrame, horizon: str) -> DataFrame:
     """One due row per contract and month, from the month it starts to its end or the horizon."""
     first = F.to_date(F.trunc("start_date", "month"))

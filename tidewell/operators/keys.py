@@ -40,14 +40,17 @@ def number_by_id(df: DataFrame, id_column: str, key: str, seed: Column | int = 0
     )
 
 
-def number_sorted(df: DataFrame, order: list[str], key: str, seed: Column | int = 0) -> DataFrame:
-    """Add ``key`` = seed + 1, seed + 2, ... in the order of the columns in ``order``.
+def stamp_sorted(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` in the order of the columns in ``order``, written once with ``_place`` (sort partition and place in it).
 
-    A global sort range-partitions the rows evenly whatever the key distribution. Each row is stamped with
-    its partition and place, the stamped rows are written once (so retries cannot renumber them), and the
-    partition sizes - one row per sort partition - are turned into offsets.
+    A global sort range-partitions the rows evenly whatever the key distribution; because the stamped rows are written, retries cannot
+    renumber them.
     """
-    placed = materialize(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    return materialize(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "numbered")
+
+
+def number_stamped(placed: DataFrame, key: str, seed: Column | int = 0) -> DataFrame:
+    """Add ``key`` = seed + 1, seed + 2, ... to rows of :func:`stamp_sorted`; every sort partition gets a block of keys of its size."""
     placed = placed.withColumn("_part", F.shiftright("_place", _LOCAL_BITS)).withColumn(
         "_position", F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     )
@@ -59,3 +62,8 @@ def number_sorted(df: DataFrame, order: list[str], key: str, seed: Column | int
         .withColumn(key, (start + F.col("_offset") + F.col("_position") + 1).cast("bigint"))
         .drop("_part", "_position", "_offset", "_place")
     )
+
+
+def number_sorted(df: DataFrame, order: list[str], key: str, seed: Column | int = 0) -> DataFrame:
+    """Add ``key`` = seed + 1, seed + 2, ... in the order of the columns in ``order``."""
+    return number_stamped(stamp_sorted(df, order), key, seed)

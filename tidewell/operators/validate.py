@@ -44,7 +44,7 @@ def validate(
     staged: DataFrame,
     tests: tuple[RowTest, ...] = USAGE_TESTS,
     key: str = "cdr_id",
-    sequence: str = "src_seq",
+    sequence: str | list[str] = "src_seq",
 ) -> DataFrame:
     """Set ``etl_status`` on every staged row. The copy test looks at all rows, also those that fail another test."""
     good = reduce(lambda a, b: a & b, [test.column() for test in tests]) & ~F.col("_repeat")

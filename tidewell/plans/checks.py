@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import intervals
 from tidewell.operators.dimensions import ambiguous_entities
-from tidewell.operators.rollup import GRAIN
+from tidewell.operators.rollup import GRAIN, MEASURES
 from tidewell.operators.rules import Reference, Rule, check_references, check_rows, check_total, repeated_groups
 
 Tables = Mapping[str, DataFrame]
@@ -39,6 +39,7 @@ TARIFF_TYPES = "('Prepaid', 'Postpaid')"
 OUTSIDE_BOX = "latitude < 46.37 or latitude > 49.02 or longitude < 9.53 or longitude > 17.16"
 
 
+# Check names below are output values of the reports and fixed with their ids.
 def row_rules(bounds: Bounds) -> dict[str, list[Rule]]:
     """Rules that count rows of one table, by table."""
     return {
@@ -289,15 +290,47 @@ CONSTRAINTS: dict[str, tuple[str, list[str], dict[str, str]]] = {
 }
 UNIQUE = {"location": ["cell_tower_id"]}
 
+# The same for the warehouse tables. Staging has no constraints.
+WAREHOUSE_CONSTRAINTS: dict[str, tuple[str, list[str], dict[str, str]]] = {
+    "dim_time": (
+        "time_key",
+        [
+            "date_val",
+            "day",
+            "day_name",
+            "week",
+            "month",
+            "month_name",
+            "quarter",
+            "year",
+            "is_weekend",
+            "holiday_flag",
+            "time_of_day",
+            "hour",
+        ],
+        {},
+    ),
+    "dim_customer": ("customer_key", ["customer_id", "effective_from", "is_current"], {}),
+    "dim_tariff": ("tariff_key", ["tariff_id", "tariff_name", "tariff_type", "monthly_fee"], {}),
+    "dim_event": ("event_key", ["event_name", "event_category", "is_chargeable", "fraud_risk_level"], {}),
+    "dim_channel": ("channel_key", ["channel_name", "channel_type"], {}),
+    "dim_location": ("location_key", ["location_id"], {}),
+    "fact_usage_events": ("usage_event_key", [*GRAIN, *MEASURES], {}),
+}
+
+
+def constraint_suite(tables: Tables, constraints: dict[str, tuple[str, list[str], dict[str, str]]] | None = None) -> DataFrame:
+    """(table_name, constraint_name, violations): one aggregation per table plus one per unique column.
 
-def constraint_suite(tables: Tables) -> DataFrame:
-    """(table_name, constraint_name, violations): one aggregation per table plus one per unique column."""
+    A key column that a table does not carry (rows of the fact before they are numbered) is left out.
+    """
     parts = []
-    for table, (key, required, checks) in CONSTRAINTS.items():
-        rules = [Rule(f"{table}|not null {c}", "", f"{c} is null") for c in [key, *required]]
+    for table, (key, required, checks) in (constraints or CONSTRAINTS).items():
+        keys = [key] if key in tables[table].columns else []
+        rules = [Rule(f"{table}|not null {c}", "", f"{c} is null") for c in [*keys, *required]]
         rules += [Rule(f"{table}|check {c}", "", f"not ({text})") for c, text in checks.items()]
         parts.append(check_rows(tables[table], rules))
-        for column in [key, *UNIQUE.get(table, [])]:
+        for column in [*keys, *UNIQUE.get(table, [])]:
             copies = repeated_groups(tables[table].where(F.col(column).isNotNull()), [column])
             parts.append(check_total(copies, Rule(f"{table}|unique {column}", "")))
     label = F.split("rule_id", "[|]")

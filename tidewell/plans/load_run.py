@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.calendar import calendar, holidays_of
 from tidewell.operators import dimensions, rollup
-from tidewell.operators.keys import next_after, number_sorted
+from tidewell.operators.keys import number_stamped, stamp_sorted
 from tidewell.operators.rules import summarize
 from tidewell.operators.validate import stage, validate
 from tidewell.plans import checks, marts
+from tidewell.plans.ledger import RunLedger
 from tidewell.session import discarding_cuts, materialize
 from tidewell.sources.schemas import TABLES
 from tidewell.sources.tables import Warehouse
@@ -63,23 +64,44 @@ def sources_of(warehouse: Warehouse) -> Sources:
     )
 
 
-def extract(warehouse: Warehouse, start: date, end: date) -> DataFrame:
-    """Usage whose event date lies in the window. As a range on the timestamp, so the scan can skip row groups."""
+def in_window(usage: DataFrame, start: date, end: date) -> DataFrame:
+    """Usage whose event date lies in the window, as a range on the timestamp, so that a scan can skip row groups.
+
+    Where there is a ``day`` column (yyyymmdd), whole partitions are left out as well.
+    """
     moment = F.col("event_datetime")
     after_end = F.date_add(F.lit(end), 1).cast("timestamp_ntz")
-    return warehouse.read("cdr").where((moment >= F.lit(start).cast("timestamp_ntz")) & (moment < after_end))
+    rows = usage.where((moment >= F.lit(start).cast("timestamp_ntz")) & (moment < after_end))
+    return rows.where(F.col("day").between(*days_of(start, end))) if "day" in usage.columns else rows
+
+
+def days_of(start: date, end: date) -> tuple[int, int]:
+    return int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}")
+
+
+def extract(warehouse: Warehouse, start: date, end: date) -> DataFrame:
+    """The usage of a window, with the place of each row in its file (``src_file``, ``src_seq``)."""
+    usage = warehouse.read_days("cdr", *days_of(start, end))
+    if usage.isEmpty():
+        place = {"src_file": F.lit(None).cast("string"), "src_seq": F.lit(None).cast("bigint")}
+    else:
+        place = {"src_file": F.col("_metadata.file_path"), "src_seq": F.col("_metadata.row_index")}
+    return in_window(usage.withColumns(place), start, end)
 
 
 def load_staging(warehouse: Warehouse, batch: DataFrame, load_date: date) -> None:
-    """Replace staging by ``batch``, then by its validated form. An empty batch empties it.
+    """Replace staging by the validated ``batch``, in one write. An empty batch empties it.
 
-    The first write fixes an arrival order (``src_seq``) that decides which copy of a repeated id is kept.
+    Of the rows of one ``cdr_id`` the first by event time, then by all other columns, is kept, so another file layout keeps
+    a row with the same contents. Rows that are equal in all of them are told apart by ``src_file`` and ``src_seq``, their place in the source; a
+    batch without such places is written once to give it some.
     """
     if "src_seq" not in batch.columns:
-        batch = batch.withColumn("src_seq", F.monotonically_increasing_id())
-    warehouse.overwrite(stage(batch, load_date), "stg_cdr")
-    staged = warehouse.read("stg_cdr")
-    warehouse.overwrite(validate(staged), "stg_cdr")
+        batch = materialize(batch, "batch").withColumns({"src_file": F.col("_metadata.file_path"), "src_seq": F.col("_metadata.row_index")})
+    place = [x for x in ("src_file", "src_seq") if x in batch.columns]
+    others = sorted(x for x in batch.columns if x not in ("event_datetime", "cdr_id", *place))
+    marked = validate(stage(batch, load_date), sequence=["event_datetime", *others, *place])
+    warehouse.overwrite(marked.drop("src_file"), "stg_cdr")
 
 
 def extend_calendar(
@@ -108,7 +130,9 @@ def load_dimensions(
     broken = dimensions.ambiguous_entities(existing).limit(1).collect()
     if broken:
         raise ValueError(f"customer {broken[0].customer_id} has several current versions")
-    customers = dimensions.one_per_entity(sources.customers.select("customer_id", *dimensions.CUSTOMER_ATTRIBUTES))
+    newest = "created_at" if "created_at" in sources.customers.columns else None
+    delivered = sources.customers.select("customer_id", *dimensions.CUSTOMER_ATTRIBUTES, *([newest] if newest else []))
+    customers = dimensions.one_per_entity(delivered, newest_by=newest)
     warehouse.overwrite(dimensions.apply_versions(existing, customers, load_date, cut=True), "dim_customer")
     for table, source, key in (
         ("dim_tariff", sources.tariffs, "tariff_key"),
@@ -118,17 +142,19 @@ def load_dimensions(
 
 
 def load_fact(warehouse: Warehouse, start: date, end: date) -> None:
-    """Roll up the valid staged rows and make them the contents of the window's days."""
+    """Roll up the valid staged rows and make them the contents of the window's days.
+
+    The rows are sorted by day and written once with their place; the second write adds their keys, which follow the last one given out, and
+    takes effect together with the new last key.
+    """
     valid = warehouse.read("stg_cdr").where("etl_status = 'VALID'")
     rolled = rollup.usage_rollup(valid)
     resolved = rollup.resolve_keys(rolled, warehouse.read("contract"), warehouse.read("dim_customer"))
-    order = ["contract_id", "time_key", "event_key", "location_key"]
-    seed = next_after(warehouse.read("fact_usage_events"), "usage_event_key")
-    keyed = number_sorted(resolved, order, "usage_event_key", seed)
-    dated = keyed.withColumn("day", F.floor(F.col("time_key") / 100).cast("int"))
-    # Written before the target is touched: the key seed reads the same table.
-    fact = materialize(dated.select(*warehouse.read("fact_usage_events").columns), "fact")
-    warehouse.replace_days(fact, "fact_usage_events", int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}"))
+    dated = resolved.withColumn("day", F.floor(F.col("time_key") / 100).cast("int"))
+    placed = stamp_sorted(dated, ["day", "contract_id", "time_key", "event_key", "location_key"])
+    last = warehouse.last_key("fact_usage_events")
+    fact = number_stamped(placed, "usage_event_key", last).drop("contract_id")
+    warehouse.replace_days(fact, "fact_usage_events", *days_of(start, end), last_key=last + placed.count())
 
 
 def run(
@@ -145,6 +171,7 @@ def run(
 
     Returns the audit line of this run, ``orphans`` (by foreign key of the fact) and ``suite`` (summary of the checks, within ``bounds``
     or else within the window). Repeating a window leaves the fact contents unchanged except for its surrogate keys, which go on counting.
+    A run that was stopped is started again with the same id and window and goes on after its last finished step.
     """
     load_date = load_date or end
     with discarding_cuts(warehouse.spark):  # all that remains is in tables or collected
@@ -161,17 +188,22 @@ def _load(
     bounds: checks.Bounds | None,
     holidays: Callable[[int], Iterable[date]],
 ) -> dict:
-    load_staging(warehouse, extract(warehouse, start, end), load_date)
-    load_dimensions(warehouse, sources, load_date, (start, end), holidays)
-    load_fact(warehouse, start, end)
-    first, last = int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}")
-    loaded = warehouse.read("fact_usage_events").where(f"day between {first} and {last}")
+    ledger = RunLedger(warehouse, run_id, start, end)
+    ledger.step("staging", lambda: load_staging(warehouse, extract(warehouse, start, end), load_date), "stg_cdr")
+    ledger.step("dimensions", lambda: load_dimensions(warehouse, sources, load_date, (start, end), holidays))
+    ledger.step("fact", lambda: load_fact(warehouse, start, end), "fact_usage_events")
+    loaded = warehouse.read_days("fact_usage_events", *days_of(start, end))
     line = rollup.load_audit(warehouse.read("stg_cdr"), loaded, run_id)
     line = line.withColumn("first_day", F.lit(start)).withColumn("last_day", F.lit(end))
     audit = line.collect()[0]
-    warehouse.append(warehouse.spark.createDataFrame([audit], line.schema), "etl_audit")
+    lines = warehouse.read("etl_audit")
+    before = ledger.step("before audit", lambda: {"lines": lines.count()})["lines"]
+    if lines.count() == before:  # else the line was written before the run stopped
+        warehouse.append(warehouse.spark.createDataFrame([audit], line.schema), "etl_audit")
     _, suite = run_suite(warehouse, bounds or checks.Bounds(load_date, start, end))
-    return audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
+    found = audit.asDict() | {"orphans": verify(warehouse), "suite": suite}
+    ledger.finish()
+    return found
 
 
 def verify(warehouse: Warehouse) -> dict[str, int]:

@@ -12,7 +12,7 @@ from tidewell.functions.measures import money, rows
 from tidewell.operators import dedup, dimensions, intervals, rollup, validate
 from tidewell.operators.keys import number_sorted
 from tidewell.operators.rules import check_references, check_rows, check_total, summarize
-from tidewell.plans import checks, marts, reports
+from tidewell.plans import checks, load_run, marts, reports
 from tidewell.plans.fixture_tables import BOUNDS, HORIZON, SECOND_LOAD, STAGE_DATE, WINDOW, FixtureTables
 from tidewell.sources.files import read_parquet
 from tidewell.sources.tables import query
@@ -53,7 +53,7 @@ def _inline_rows(t: FixtureTables) -> DataFrame:
 
 
 def _window(t: FixtureTables) -> DataFrame:
-    return t["cdr"].where(F.to_date("event_datetime").between(*[F.lit(day) for day in WINDOW]))
+    return load_run.in_window(t["cdr"], *WINDOW)
 
 
 def _split(t: FixtureTables) -> DataFrame:
@@ -171,12 +171,14 @@ def queries() -> dict[str, Query]:
         "rate_usage": marts.rated_usage,
         "active_contract_join": marts.events_in_contract,
         "billing_spine": lambda t: intervals.billing_months(t["contract"], str(HORIZON)),
+        "scd2_gap_days": lambda t: intervals.version_gaps(t["customer_history"]),
         "contract_overlap": lambda t: intervals.overlaps(t["contract"]),
         "fraud_by_scenario": marts.fraud_by_scenario,
         "storage_footprint": lambda t: marts.storage_footprint(_suite_tables(t)),
         "storage_totals": lambda t: marts.storage_totals(_suite_tables(t)),
         # suites
         "constraint_suite": checks.constraint_suite,
+        "constraint_suite_dwh": lambda t: checks.constraint_suite(t.keep("dim_customer"), checks.WAREHOUSE_CONSTRAINTS),
         "fk_suite": checks.fk_suite,
         "dq_summary": lambda t: checks.dq_summary(_suite_tables(t), BOUNDS),
         "br_summary": lambda t: checks.br_summary(t.keep("dim_customer", "fact_usage_events"), BOUNDS),

@@ -4,6 +4,8 @@ Keys, required columns and value lists are not enforced on write; ``plans.checks
 referential checks report them.
 """
 
+import re
+
 TABLES: dict[str, dict[str, str]] = {
     "ops": {
         "region": "region_id int, bundesland string, country string default 'Austria'",
@@ -37,7 +39,7 @@ TABLES: dict[str, dict[str, str]] = {
             "cdr_id bigint, contract_id int, receiver_id int, event_key int, event_datetime timestamp_ntz, "
             "duration_sec int default 0, data_volume_mb decimal(12,4) default 0, location_id int, "
             "cost decimal(10,4) default 0, call_type string, fraud_flag boolean default false, "
-            "fraud_score decimal(5,2) default 0, fraud_scenario string, created_at timestamp default current_timestamp()"
+            "fraud_score decimal(5,2) default 0, fraud_scenario string, created_at timestamp default current_timestamp(), day int"
         ),
         "payment": (
             "payment_id bigint, contract_id int, invoice_id bigint, amount decimal(10,2), pay_date date, method string"
@@ -52,7 +54,7 @@ TABLES: dict[str, dict[str, str]] = {
             "cdr_id bigint, contract_id int, receiver_id int, event_key int, event_datetime timestamp_ntz, "
             "duration_sec int, data_volume_mb decimal(12,4), location_id int, cost decimal(10,4), call_type string, "
             "fraud_flag boolean, fraud_score decimal(5,2), fraud_scenario string, created_at timestamp, "
-            "src_seq bigint, etl_load_date date, etl_status string"
+            "src_seq bigint, etl_load_date date, etl_status string, day int"
         ),
         "dim_time": (
             "time_key int, date_val date, day int, day_name string, week int, week_name string, month int, "
@@ -92,5 +94,20 @@ TABLES: dict[str, dict[str, str]] = {
     },
 }
 
-# Tables whose windows are reloaded are partitioned by day (yyyymmdd).
-PARTITIONED = {"fact_usage_events": "day"}
+_EVENT_DAY = "year(event_datetime) * 10000 + month(event_datetime) * 100 + day(event_datetime)"
+
+# Tables of the size of the facts are kept in day partitions (yyyymmdd); how the day follows from the other columns.
+DAYS = {"cdr": _EVENT_DAY, "stg_cdr": _EVENT_DAY, "fact_usage_events": "cast(floor(time_key / 100) as int)"}
+# Their surrogate keys, for which the table keeps the last one given out.
+KEYS = {"fact_usage_events": "usage_event_key"}
+
+
+def columns_of(table: str) -> dict[str, tuple[str, str | None]]:
+    """Type and default of each column of a table."""
+    listed = next(tables[table] for tables in TABLES.values() if table in tables)
+    out = {}
+    for column in re.split(r", (?=[a-z_]+ [a-z])", listed):
+        name, kind = column.split(" ", 1)
+        kind, _, default = kind.partition(" default ")
+        out[name] = (kind, default or None)
+    return out

@@ -6,8 +6,11 @@ import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidewell.sources.schemas import PARTITIONED, TABLES
+from tidewell.sources.schemas import DAYS, KEYS, TABLES, columns_of
+from tidewell.sources.snapshots import SnapshotTable
 
 
 def query(spark: SparkSession, sql: str, params: dict[str, Any] | list[Any] | None = None, **frames: DataFrame) -> DataFrame:
@@ -21,6 +24,9 @@ class Warehouse:
     A table is a catalog entry over a versioned folder: replacing its contents writes a new folder and then
     points the entry at it, so a job may replace the table it reads and a failed job leaves the old version.
     The newest ``versions`` folders of a table are kept, for readers that began before a replacement.
+
+    Tables in day partitions (:data:`DAYS`) are no catalog entries but :class:`SnapshotTable`; a new window, a replacement and the last
+    surrogate key given out take effect with one commit file.
     """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = "", versions: int = 2):
@@ -41,13 +47,20 @@ class Warehouse:
                 self.drop(table)
                 self.create(table)
 
+    def snapshots(self, table: str) -> SnapshotTable:
+        """The commits of a table in day partitions."""
+        schema = StructType.fromDDL(", ".join(f"{name} {kind}" for name, (kind, _) in columns_of(table).items()))
+        return SnapshotTable(self.spark, f"{self.root}/{self.name(table).replace('.', '/')}", schema, self.versions)
+
     def create(self, table: str) -> None:
-        self._create_at(self.name(table), table, self._fresh_folder(table))
+        if table in DAYS:
+            self.snapshots(table).create()
+        else:
+            self._create_at(self.name(table), table, self._fresh_folder(table))
 
     def _create_at(self, name: str, table: str, folder: str) -> None:
         layer = "ops" if table in TABLES["ops"] else "dwh"
-        partition = f" partitioned by ({PARTITIONED[table]})" if table in PARTITIONED else ""
-        self.spark.sql(f"create table {name} ({TABLES[layer][table]}) using parquet{partition} location '{folder}'")
+        self.spark.sql(f"create table {name} ({TABLES[layer][table]}) using parquet location '{folder}'")
 
     def _drop_old_versions(self, table: str) -> None:
         """Delete all but the newest folders of a table."""
@@ -60,20 +73,55 @@ class Warehouse:
             system.delete(path, True)
 
     def drop(self, table: str) -> None:
-        self.spark.sql(f"drop table if exists {self.name(table)}")
+        if table in DAYS:
+            self.snapshots(table).drop()
+        else:
+            self.spark.sql(f"drop table if exists {self.name(table)}")
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table))
+        return self.snapshots(table).exists() if table in DAYS else self.spark.catalog.tableExists(self.name(table))
 
     def count(self, table: str) -> int:
         """Rows of a table, 0 if it is missing."""
-        return self.spark.table(self.name(table)).count() if self.exists(table) else 0
+        return self.read(table).count() if self.exists(table) else 0
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        return self.snapshots(table).read() if table in DAYS else self.spark.table(self.name(table))
+
+    def read_days(self, table: str, first: int, last: int) -> DataFrame:
+        """The days ``first``..``last`` (yyyymmdd) of a table in day partitions; no other folder is listed."""
+        return self.snapshots(table).read(first, last)
+
+    def _complete(self, df: DataFrame, table: str, keep_day: bool = False) -> DataFrame:
+        """All columns of a table in day partitions, with their types; those that ``df`` lacks take their defaults.
+
+        The day follows from the other columns, unless the caller's is to be kept.
+        """
+        listed = columns_of(table)
+        if unknown := set(df.columns) - set(listed):
+            raise ValueError(f"{table} has no columns {', '.join(sorted(unknown))}")
+        given = {name: F.expr(default or "null") for name, (_, default) in listed.items() if name not in df.columns and name != "day"}
+        whole = df.withColumns(given) if given else df
+        dated = whole if keep_day and "day" in df.columns else whole.withColumn("day", F.expr(DAYS[table]))
+        return dated.select(*[F.col(name).cast(kind).alias(name) for name, (kind, _) in listed.items()])
+
+    def _marks(self, table: str, df: DataFrame) -> dict[str, int] | None:
+        """The last key given out, if ``df`` brings keys of its own."""
+        if (key := KEYS.get(table)) is None or key not in df.columns:
+            return None
+        most = df.agg(F.max(key).alias("most")).collect()[0]["most"]
+        return {key: max(most or 0, self.snapshots(table).current().marks.get(key, 0))}
+
+    def last_key(self, table: str) -> int:
+        """The last surrogate key given out, 0 before the first."""
+        return self.snapshots(table).current().marks.get(KEYS[table], 0)
 
     def append(self, df: DataFrame, table: str) -> None:
         """Insert by column name; columns that ``df`` lacks take the table's defaults."""
+        if table in DAYS:
+            # One task for each day, split where a day is large, so that a day gets few files.
+            self.snapshots(table).append(self._complete(df, table).hint("rebalance", "day"), self._marks(table, df))
+            return
         columns = ", ".join(df.columns)
         self.spark.sql(f"insert into {self.name(table)} ({columns}) select {columns} from {{rows}}", rows=df)
 
@@ -86,47 +134,26 @@ class Warehouse:
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Swap in new contents, also empty ones. Missing columns take the table's defaults."""
+        if table in DAYS:
+            self.snapshots(table).overwrite(self._complete(df, table).hint("rebalance", "day"), self._marks(table, df))
+            return
         draft = f"{self.name(table)}_draft_{uuid.uuid4().hex[:8]}"
         folder = self._fresh_folder(table)
         self._create_at(draft, table, folder)
         try:
             columns = ", ".join(df.columns)
             self.spark.sql(f"insert into {draft} ({columns}) select {columns} from {{rows}}", rows=df)
-        except BaseException:
-            self.spark.sql(f"drop table {draft}")
-            raise
-        if table in PARTITIONED:
-            # The catalog lists partitions by folder: the entry has to go with its partitions. External files stay.
-            self.drop(table)
-            self.spark.sql(f"alter table {draft} rename to {self.name(table)}")
-        else:
-            self.spark.sql(f"drop table {draft}")
-            self.spark.sql(f"alter table {self.name(table)} set location '{folder}'")
+        finally:
+            self.spark.sql(f"drop table {draft}")  # an external table: its files stay
+        self.spark.sql(f"alter table {self.name(table)} set location '{folder}'")
         self.spark.catalog.refreshTable(self.name(table))
         self._drop_old_versions(table)
 
-    def replace_days(self, df: DataFrame, table: str, first: int, last: int) -> None:
-        """Make ``df`` the contents of the day partitions ``first``..``last`` (yyyymmdd) of a partitioned table.
+    def replace_days(self, df: DataFrame, table: str, first: int, last: int, last_key: int | None = None) -> None:
+        """Make ``df`` the contents of the days ``first``..``last`` (yyyymmdd) of a table in day partitions.
 
-        Days with rows are overwritten one partition at a time; days of the range without rows are dropped, so a
-        repeated load of a window ends in the same state as the first.
+        Days of the range without rows become empty, so a repeated load of a window ends in the same state as the first. ``last_key`` is
+        the last surrogate key among the rows; it is kept in the same commit.
         """
-        column = PARTITIONED[table]
-        outside = df.where(f"{column} not between {first} and {last}")
-        if not outside.isEmpty():
-            raise ValueError(f"rows of {table} outside {first}..{last}")
-        before = {
-            row[0] for row in self.read(table).where(f"{column} between {first} and {last}").select(column).distinct().collect()
-        }
-        target = self.read(table).columns
-        self.spark.sql(
-            f"insert overwrite {self.name(table)} partition ({column}) select {', '.join(target)} from {{rows}}", rows=df
-        )
-        after = {row[0] for row in df.select(column).distinct().collect()}
-        others = ", ".join(name for name in target if name != column)
-        for day in sorted(before - after):
-            # Emptied first: dropping a partition of an external table leaves its files, which a repair would bring back.
-            self.spark.sql(
-                f"insert overwrite {self.name(table)} partition ({column} = {day}) select {others} from {{rows}} where false", rows=df
-            )
-            self.spark.sql(f"alter table {self.name(table)} drop if exists partition ({column} = {day})")
+        marks = None if last_key is None else {KEYS[table]: last_key}
+        self.snapshots(table).replace_days(self._complete(df, table, keep_day=True), first, last, marks)
