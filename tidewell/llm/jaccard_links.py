@@ -312,8 +312,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy(*key, "signature")
         .agg(
             F.min("doc_id").alias("first_id"),
-            # One of the rows with these shingles: those with an id come first.
-            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("one"),
+            # The text of one of the rows with the smallest id; plain numbers, so that the aggregate hashes and need not sort.
+            F.min_by("text_key", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("text_key"),
             F.count("*").alias("n_copies"),
         )
         .withColumn("node", F.monotonically_increasing_id())
@@ -326,7 +326,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = materialize(candidate_members(met, threshold), "members")
 
     wanted = members.select("node").distinct().join(nodes, "node")
-    texts = _texts_of(_narrow(docs), wanted.select("*", F.coalesce("one.doc_id", F.lit(-1)).alias("doc_id"), "one.text_key"), key)
+    texts = _texts_of(_narrow(docs), wanted.withColumn("doc_id", F.coalesce("first_id", F.lit(-1))), key)
     linked = materialize(verified(members.join(texts, "node"), threshold), "links")
 
     root = components(linked.select("node", F.col("root").alias("other")))
