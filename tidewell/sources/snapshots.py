@@ -125,6 +125,14 @@ class SnapshotTable:
 
         return self._change(df, swap, marks)
 
+    def compact(self, first: int, last: int) -> Commit:
+        """Rewrite the days ``first``..``last`` with one version each."""
+        return self.replace_days(self.read(first, last).hint("rebalance", DAY), first, last)
+
+    def crowded_days(self, most: int) -> list[int]:
+        """Days that more than ``most`` versions make up."""
+        return sorted(day for x, versions in self.current().folders.items() if len(versions) > most and (day := day_of(x)) is not None)
+
     def _change(self, df: DataFrame, merge: Callable[[Commit, dict[str, str]], dict[str, list[str]]], marks: dict[str, int] | None) -> Commit:
         now = self.current()
         version = uuid.uuid4().hex
