@@ -697,6 +697,7 @@ def statements() -> dict[str, str]:
         "constraint_suite_dwh": _warehouse_constraints(),
         "br_15_adjacent": ADJACENT,
         "scd2_gap_days": GAP_DAYS,
+        "active_contract_join_binned": MAIN["active_contract_join"],
     }
     on_history = checks("v_customer_history")
     for rule, body in checks().items():

@@ -356,3 +356,39 @@ def test_gap_days(spark):
         (1, date(2024, 1, 10), date(2024, 1, 15), date(2024, 1, 20), 5, 1),
         (2, day, date(2024, 1, 3), date(2024, 2, 1), 29, 2),
     ]
+
+
+@pytest.mark.parametrize("bin_days", [1, 7, 400])
+def test_binned_interval_join_equals_the_plain_one(spark, bin_days):
+    """Open and empty spans, spans before and after all events, events without a key or a date, and overlapping spans."""
+    first = date(2023, 1, 1).toordinal()
+    spans = [(k, date.fromordinal(first + s), date.fromordinal(first + s + n) if n is not None else None) for k, s, n in
+             [(1, 0, 10), (1, 5, 30), (1, 36, None), (2, 100, -5), (2, -900, 20), (3, 4000, None), (4, 0, None)]]
+    events = [(i, i % 5 or None, datetime(2023, 1, 1 + i % 28, 5)) for i in range(90)] + [(900, 1, None), (901, 1, datetime(2023, 6, 1))]
+    left = spark.createDataFrame(events, "event_id int, k int, moment timestamp")
+    right = spark.createDataFrame(spans, "k int, since date, until date")
+    for how in ("inner", "left"):
+        found = [intervals.within_validity(left, right, "k", "moment", "since", "until", how, x) for x in (None, bin_days)]
+        assert found[0].columns == found[1].columns
+        assert sorted(map(repr, found[0].collect())) == sorted(map(repr, found[1].collect()))
+    assert intervals.within_validity(left.where("false"), right, "k", "moment", "since", "until", "left", bin_days).count() == 0
+
+
+def test_a_hot_key_is_spread_by_bins(spark):
+    """A contract with a third of the events and 1,000 versions: no task has more than a small part of its rows."""
+    hot = spark.range(30_000).selectExpr("if(id % 3 = 0, -1, id) as k", "timestamp '2021-01-01' + make_interval(0, 0, 0, cast(id % 1000 as int)) as moment")
+    versions = spark.range(1000).selectExpr("if(id >= 0, -1, id) as k", "date_add(date '2021-01-01', cast(id as int)) as since", "date_add(date '2021-01-01', cast(id as int)) as until")
+    kept = {x: spark.conf.get(x) for x in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sizes = []
+        for bin_days in (None, 8):
+            joined = intervals.within_validity(hot, versions, "k", "moment", "since", "until", "inner", bin_days)
+            by_task = joined.groupBy(F.spark_partition_id()).count().collect()
+            sizes.append(sorted(x["count"] for x in by_task))
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert sum(sizes[0]) == sum(sizes[1]) == 10_000
+    assert sizes[0] == [10_000] and max(sizes[1]) < 4_500

@@ -12,12 +12,26 @@ from pyspark.sql import functions as F
 FOREVER = "date '9999-12-31'"
 
 
-def within_validity(events: DataFrame, spans: DataFrame, key: str, moment: str, start: str, end: str) -> DataFrame:
-    """Events that fall into the span of their key; an open end lasts forever. Equi-join plus residual."""
+def within_validity(
+    events: DataFrame, spans: DataFrame, key: str, moment: str, start: str, end: str, how: str = "inner", bin_days: int | None = None
+) -> DataFrame:
+    """Events that fall into the span of their key; an open end lasts forever. Equi-join plus residual; ``how`` is inner or left.
+
+    With ``bin_days`` the join also goes by bins of so many days: an event has one bin, a span one row for each bin it reaches between
+    the first and the last event. A key with very many events and spans is then spread over as many groups as there are bins, and an event is
+    compared only with the spans of its bin. That pays where one key may hold a large share of both sides.
+    """
     held = spans.withColumnRenamed(key, f"_{key}")
-    day = F.to_date(moment)
-    inside = (F.col(key) == F.col(f"_{key}")) & (day >= F.col(start)) & (day <= F.coalesce(F.col(end), F.expr(FOREVER)))
-    return events.join(held, inside).drop(f"_{key}")
+    day, until = F.to_date(moment), F.coalesce(F.col(end), F.expr(FOREVER))
+    inside = (F.col(key) == F.col(f"_{key}")) & (day >= F.col(start)) & (day <= until)
+    if bin_days is None:
+        return events.join(held, inside, how).drop(f"_{key}")
+    bin_of = lambda date: F.floor(F.unix_date(date) / F.lit(bin_days)).cast("int")
+    limits = events.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last")).alias("limits")).scalar()
+    first, last = F.greatest(F.col(start), limits["first"]), F.least(until, limits["last"])
+    binned = held.withColumn("_bin", F.explode(F.when(first <= last, F.sequence(bin_of(first), bin_of(last)))))
+    dated = events.withColumn("_event_bin", bin_of(day))
+    return dated.join(binned, inside & (F.col("_event_bin") == F.col("_bin")), how).drop(f"_{key}", "_bin", "_event_bin")
 
 
 def following_start(rows: DataFrame, entity: str, start: str, tie: str, out: str) -> DataFrame:

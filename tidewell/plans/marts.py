@@ -150,10 +150,10 @@ def rated_usage(t: Tables) -> DataFrame:
     )
 
 
-def events_in_contract(t: Tables) -> DataFrame:
+def events_in_contract(t: Tables, bin_days: int | None = None) -> DataFrame:
     spans = t["contract"].select("contract_id", "tariff_id", "start_date", "end_date")
     usage = t["cdr"].select("src_seq", "cdr_id", "contract_id", "event_datetime")
-    return within_validity(usage, spans, "contract_id", "event_datetime", "start_date", "end_date").select(
+    return within_validity(usage, spans, "contract_id", "event_datetime", "start_date", "end_date", bin_days=bin_days).select(
         "src_seq", "cdr_id", "contract_id", "tariff_id", "event_datetime", "start_date", "end_date"
     )
 

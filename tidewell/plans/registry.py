@@ -170,6 +170,7 @@ def queries() -> dict[str, Query]:
         "sample_fraud_bands": marts.fraud_bands,
         "rate_usage": marts.rated_usage,
         "active_contract_join": marts.events_in_contract,
+        "active_contract_join_binned": lambda t: marts.events_in_contract(t, bin_days=32),
         "billing_spine": lambda t: intervals.billing_months(t["contract"], str(HORIZON)),
         "scd2_gap_days": lambda t: intervals.version_gaps(t["customer_history"]),
         "contract_overlap": lambda t: intervals.overlaps(t["contract"]),
