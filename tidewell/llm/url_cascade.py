@@ -15,12 +15,15 @@ row. Other columns are ignored, whatever their names. A rule on both lists block
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import materialize
+
 MAX_RULES = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -100,28 +103,43 @@ class Cascade:
         return found if self.levels else F.lit(False)
 
 
+def build_cascades(universe: DataFrame, size: int, lists: list[list[str]]) -> list[Cascade]:
+    """A cascade for each list that makes no mistake on any ``key`` of ``universe`` (``size`` rows at most, repeats allowed).
+
+    The universe is read once: what passes the first level of any list is written, and the further levels are built from that.
+    """
+    lists = [sorted(set(listed)) for listed in lists]
+    if (most := max(map(len, lists), default=0)) > MAX_RULES:
+        raise ValueError(f"{most} rules; a cascade takes {MAX_RULES}")
+    spark, key = universe.sparkSession, F.col("key")
+    inside = [spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(x)), "array<string>")).alias("key")) for x in lists]
+    used = [number for number, listed in enumerate(lists) if listed]
+    if not used:
+        return [Cascade(()) for _ in lists]
+    first = {n: build_level(inside[n], len(lists[n]), 1, min(0.5, len(lists[n]) / max(1.0, 2.0 * size))) for n in used}
+    # Few keys pass level 1: the listed ones and about half as many others. They are told apart by grouping with the lists.
+    takers = F.array_compact(F.array(*(F.when(first[n].takes(key), F.lit(n)) for n in used)))
+    passed = universe.select("key", F.explode(takers).alias("list"), F.lit(0).alias("listed"))
+    for n in used:
+        passed = passed.unionByName(inside[n].select("key", F.lit(n).alias("list"), F.lit(1).alias("listed")))
+    marked = materialize(passed.groupBy("list", "key").agg(F.max("listed").alias("listed")), "passed_keys")
+    out = []
+    for n in range(len(lists)):
+        levels = [first[n]] if n in first else []
+        wrong = marked.where((F.col("list") == n) & (F.col("listed") == 0)).select("key")
+        right, count = inside[n], wrong.count()
+        while count:
+            level = build_level(wrong, count, len(levels) + 1, 0.5)
+            levels.append(level)
+            wrong, right = right.where(level.takes(key)), wrong
+            count = wrong.count()
+        out.append(Cascade(tuple(levels)))
+    return out
+
+
 def build_cascade(universe: DataFrame, listed: list[str]) -> Cascade:
-    """A cascade for ``listed`` that makes no mistake on any ``key`` of ``universe`` (repeats allowed)."""
-    listed = sorted(set(listed))
-    if not listed:
-        return Cascade(())
-    if len(listed) > MAX_RULES:
-        raise ValueError(f"{len(listed)} rules; a cascade takes {MAX_RULES}")
-    spark = universe.sparkSession
-    inside = spark.createDataFrame([(x,) for x in listed], "key string").coalesce(1)
-    size = universe.agg(F.approx_count_distinct("key")).first()[0]
-    levels = [build_level(inside, len(listed), 1, min(0.5, len(listed) / max(1.0, 2.0 * size)))]
-    # Few keys pass level 1: the listed ones and about half as many others. They are told apart by grouping with the list.
-    passed = universe.where(levels[0].takes(F.col("key"))).select("key", F.lit(0).alias("listed"))
-    marked = passed.unionByName(inside.select("key", F.lit(1).alias("listed"))).groupBy("key").agg(F.max("listed").alias("listed"))
-    wrong, right = marked.where("listed = 0").select("key"), inside
-    count = wrong.count()
-    while count:
-        level = build_level(wrong, count, len(levels) + 1, 0.5)
-        levels.append(level)
-        wrong, right = right.where(level.takes(F.col("key"))), wrong
-        count = wrong.count()
-    return Cascade(tuple(levels))
+    """The cascade for one list."""
+    return build_cascades(universe, universe.count(), [listed])[0]
 
 
 def judge(pages: DataFrame, allow: list[str], block: list[str], otherwise: str = "allow") -> DataFrame:
@@ -135,7 +153,8 @@ def judge(pages: DataFrame, allow: list[str], block: list[str], otherwise: str =
     )
     keyed = parsed.withColumn("keys", keys_of(F.col("host"), F.col("path"), shapes))
     universe = keyed.select(F.explode("keys").alias("key"))
-    allowed, blocked = build_cascade(universe, allow), build_cascade(universe, block)
+    # A page has one key for each shape at most; rows are counted from the footers of the files.
+    allowed, blocked = build_cascades(universe, pages.count() * max(1, len(shapes)), [allow, block])
 
     def rank(key: Column) -> Column:
         blocks = blocked.holds(key)
