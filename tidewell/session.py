@@ -65,6 +65,13 @@ def discarding_cuts(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, path)
 
 
+def discard_later(path: str) -> str:
+    """Name a folder that :func:`discarding_cuts` deletes with the cuts, if one is open."""
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; ``options`` are those of the parquet writer.
 
@@ -72,9 +79,7 @@ def materialize(df: DataFrame, label: str = "cut", **options: str) -> DataFrame:
     The written table survives executor loss, and its real file size lets the planner choose join sides.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = discard_later(f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}")
     df.write.options(**options).parquet(path)
-    if (scope := _scope.get()) is not None:
-        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
