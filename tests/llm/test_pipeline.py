@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import corpus_pipeline
 import pyarrow as pa
+import pytest
 from test_jaccard_links import plain
 
 from tidewell.llm import compression_score, queries, repetition
-from tidewell.session import materialize
+from tidewell.session import discarding_cuts, materialize, scratch_root
 
 
 def test_stages(spark, sf_dir, documents):
@@ -42,6 +45,16 @@ def test_stages_carry_other_columns_and_take_awkward_rows(spark, sf_dir, awkward
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= docs.count()
 
 
+@pytest.mark.parametrize("name", ["op4_bit_packed_tokens", "op6_best_fit_packing", "op8_warc_dictionary", "op11_byte_contexts", "op13_term_skyband"])
+def test_nothing_is_left_in_the_shared_folder(spark, sf_dir, name):
+    root = Path(scratch_root(spark).removeprefix("file://"))
+    before = set(root.iterdir()) if root.exists() else set()
+    with discarding_cuts(spark):
+        assert queries.queries()[name](spark, sf_dir).collect()
+        assert set(root.iterdir()) > before
+    assert set(root.iterdir()) == before
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry_points
 

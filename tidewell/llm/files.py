@@ -7,12 +7,12 @@ import uuid
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
-from tidewell.session import scratch_root
+from tidewell.session import discard_later, scratch_root
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A folder name that nothing uses yet, in the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder name that nothing uses yet, in the shared folder; it goes with the cuts of an open ``discarding_cuts``."""
+    return discard_later(f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}")
 
 
 def locate(uri: str) -> tuple[pafs.FileSystem, str]:
