@@ -699,6 +699,8 @@ def statements() -> dict[str, str]:
         "scd2_gap_days": GAP_DAYS,
         "active_contract_join_binned": MAIN["active_contract_join"],
     }
+    bodies["scd2_apply_changes"] = MAIN["scd2_apply"]
+    bodies["ri_by_key"] = " union all ".join(f"({checks()[rule]})" for rule in ("RI-07", "BR-11", "RI-08", "RI-09", "RI-10", "BR-10"))
     on_history = checks("v_customer_history")
     for rule, body in checks().items():
         name = rule.lower().replace("-", "_")

@@ -28,7 +28,7 @@ WEEK = (date(2024, 1, 8), date(2024, 1, 14))
 
 @pytest.fixture(scope="module")
 def warehouse(spark, sf_dir, tmp_path_factory):
-    house = Warehouse(spark, str(tmp_path_factory.mktemp("house")), "t_")
+    house = Warehouse(spark, str(tmp_path_factory.mktemp("house")), "t_", buckets=8)
     tables = FixtureTables(spark, sf_dir)
     load_run.prepare(house, tables["event_type"], tables["channel"])
     for name in OPERATIONAL:
@@ -271,7 +271,7 @@ def test_several_current_versions_stop_the_load(warehouse):
 
 
 def test_defaults_append_replace_and_counts(spark, tmp_path):
-    house = Warehouse(spark, str(tmp_path), "u_")
+    house = Warehouse(spark, str(tmp_path), "u_", buckets=4)
     house.create_all()
     assert house.exists("region") and not house.exists("cdr_old") and house.count("cdr_old") == 0
     house.append(spark.createDataFrame([("Tyrol", 1)], "bundesland string, region_id int"), "region")

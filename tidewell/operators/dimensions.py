@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import keep_first
@@ -156,6 +156,43 @@ def apply_versions(
     return existing.where("not is_current").unionByName(kept).unionByName(numbered)
 
 
+def version_changes(
+    existing: DataFrame,
+    source: DataFrame,
+    entity: str = "customer_id",
+    attributes: tuple[str, ...] = CUSTOMER_ATTRIBUTES,
+    tracked: tuple[str, ...] = TRACKED,
+) -> DataFrame:
+    """The source rows that open a version; ``_changed`` where they close one as well. All that :func:`apply_changes` needs."""
+    pairs = _compare(existing, source.select(entity, *attributes), entity, tracked)
+    return pairs.where("_new or _changed").select(entity, *attributes, "_changed")
+
+
+def apply_changes(
+    part: DataFrame,
+    changes: DataFrame,
+    load_date: date,
+    seed: Column | int,
+    key: str = "customer_key",
+    entity: str = "customer_id",
+    attributes: tuple[str, ...] = CUSTOMER_ATTRIBUTES,
+) -> DataFrame:
+    """Type 2 by parts: ``part`` of a dimension, with all versions of the entities in ``changes``, after those changes.
+
+    New keys follow ``seed``, in the order of the entities, so they do not depend on which part is looked at. The result for the whole
+    dimension is that of :func:`apply_versions`. ``changes`` must be a written table, because it is read several times.
+    """
+    closing = changes.where("_changed").select(entity, F.lit(True).alias("_closing"))
+    ends = "(is_current and _closing is not null)"
+    replaced = {
+        "effective_to": f"case when {ends} then date_sub(date '{load_date}', 1) else effective_to end",
+        "is_current": f"is_current and not {ends}",
+    }
+    kept = part.join(closing, entity, "left").selectExpr(*[f"{replaced.get(c, c)} as {c}" for c in part.columns])
+    opened = number_by_id(_opening(changes, load_date, entity, attributes), entity, key, seed)
+    return kept.unionByName(opened.select(*part.columns))
+
+
 def version_activity(existing: DataFrame, source: DataFrame, entity: str = "customer_id", tracked: tuple[str, ...] = TRACKED) -> DataFrame:
     """How many versions a load would close and insert."""
     return _compare(existing, source, entity, tracked).agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -93,10 +94,39 @@ def orphan_counts(
     return lost.unionByName(zero).groupBy("rule_id").agg(F.sum("n_rows").alias("failed_rows"))
 
 
+def orphan_counts_by_key(child: DataFrame, references: list[Reference], parent: DataFrame, nulls_are_lost: bool = True) -> DataFrame:
+    """(rule_id, failed_rows) for references that share their column and parent, joined on the parent's own key column.
+
+    A parent in hash buckets of that column is not shuffled: only the child's distinct keys move, already counted. A key that the parent's
+    type cannot hold has no parent.
+    """
+    column, key = references[0].column, references[0].parent_column
+    held = F.expr(f"try_cast({column} as {parent.schema[key].dataType.simpleString()})")
+    counted = F.count(F.lit(1)) if nulls_are_lost else F.count(column)
+    tallies = child.select(column, held.alias("_key")).groupBy("_key").agg(counted.alias("n_rows"))
+    lost = tallies.join(parent.select(F.col(key).alias("_parent")), F.col("_key") == F.col("_parent"), "left_anti")
+    rules = ", ".join(f"'{r.rule_id}'" for r in references)
+    total = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failed_rows"))
+    return total.selectExpr(f"explode(array({rules})) as rule_id", "failed_rows")
+
+
 def check_references(
-    child: DataFrame, references: list[Reference], parents: dict[str, DataFrame], nulls_are_lost: bool = True
+    child: DataFrame,
+    references: list[Reference],
+    parents: dict[str, DataFrame],
+    nulls_are_lost: bool = True,
+    in_buckets: Mapping[tuple[str, str], DataFrame] | None = None,
 ) -> DataFrame:
-    counts = orphan_counts(child, references, parents, nulls_are_lost)
+    """One row for each reference. Parents in ``in_buckets``, by name and key column, are joined on their buckets, all others in one scan."""
+    by_key: dict[tuple[str, str, str], list[Reference]] = {}
+    for r in references:
+        if (r.parent, r.parent_column) in (in_buckets or {}):
+            by_key.setdefault((r.column, r.parent, r.parent_column), []).append(r)
+    together = [r for r in references if (r.column, r.parent, r.parent_column) not in by_key]
+    parts = [orphan_counts_by_key(child, same, in_buckets[place[1:]], nulls_are_lost) for place, same in by_key.items()]
+    if together:
+        parts.append(orphan_counts(child, together, parents, nulls_are_lost))
+    counts = reduce(DataFrame.unionByName, parts)
     lines = " ".join(f"when '{r.rule_id}' then {_verdict(r, 'failed_rows')}" for r in references)
     return counts.selectExpr(f"case rule_id {lines} end as line").select("line.*")
 

@@ -145,10 +145,26 @@ FOREIGN_KEYS: dict[str, list[Reference]] = {
 }
 
 
+def parents_in_buckets(tables: Tables, references: list[Reference]) -> dict[tuple[str, str], DataFrame]:
+    """Parents that ``tables`` keeps in hash buckets of the column referred to, by name and column."""
+    find = getattr(tables, "in_buckets", lambda name, column: None)
+    found = {(r.parent, r.parent_column): find(r.parent, r.parent_column) for r in references}
+    return {place: frame for place, frame in found.items() if frame is not None}
+
+
+def references_by_key(tables: Tables) -> DataFrame:
+    """The references to customers, contracts and invoices, each joined on the parent's key."""
+    parts = []
+    for child in ("payment", "device", "cdr", "invoice"):
+        references = REFERENCES[child]
+        parts.append(check_references(tables[child], references, {}, in_buckets={(r.parent, r.parent_column): tables[r.parent] for r in references}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fk_suite(tables: Tables) -> DataFrame:
     """One row for each foreign key of :data:`FOREIGN_KEYS`."""
     parts = [
-        check_references(tables[table], references, {r.parent: tables[r.parent] for r in references}, nulls_are_lost=False)
+        check_references(tables[table], references, {r.parent: tables[r.parent] for r in references}, False, parents_in_buckets(tables, references))
         for table, references in FOREIGN_KEYS.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -214,7 +230,7 @@ def run_checks(tables: Tables, rule_ids: list[str], bounds: Bounds) -> DataFrame
         chosen = [reference for reference in references if reference.rule_id in wanted]
         if chosen:
             parents = {reference.parent: tables[reference.parent] for reference in chosen}
-            parts.append(check_references(tables[table], chosen, parents))
+            parts.append(check_references(tables[table], chosen, parents, in_buckets=parents_in_buckets(tables, chosen)))
     for rule_id, (rule, violations) in SHAPED.items():
         if rule_id in wanted:
             parts.append(check_total(violations(tables), rule))

@@ -17,7 +17,7 @@ from tidewell.operators.validate import stage, validate
 from tidewell.plans import checks, marts
 from tidewell.plans.ledger import RunLedger
 from tidewell.session import discarding_cuts, materialize
-from tidewell.sources.schemas import TABLES
+from tidewell.sources.schemas import BUCKETS, TABLES
 from tidewell.sources.tables import Warehouse
 
 
@@ -30,6 +30,10 @@ class WarehouseTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         return self.warehouse.read(name)
 
+    def in_buckets(self, name: str, column: str) -> DataFrame | None:
+        """A table as a bucketed scan, if it is kept in buckets of ``column``."""
+        return self.warehouse.read_clustered(name) if BUCKETS.get(name) == column else None
+
     def __iter__(self) -> Iterator[str]:
         return iter([name for layer in TABLES.values() for name in layer])
 
@@ -126,14 +130,7 @@ def load_dimensions(
     holidays: Callable[[int], Iterable[date]] = holidays_of,
 ) -> None:
     extend_calendar(warehouse, *window, holidays)
-    existing = warehouse.read("dim_customer")
-    broken = dimensions.ambiguous_entities(existing).limit(1).collect()
-    if broken:
-        raise ValueError(f"customer {broken[0].customer_id} has several current versions")
-    newest = "created_at" if "created_at" in sources.customers.columns else None
-    delivered = sources.customers.select("customer_id", *dimensions.CUSTOMER_ATTRIBUTES, *([newest] if newest else []))
-    customers = dimensions.one_per_entity(delivered, newest_by=newest)
-    warehouse.overwrite(dimensions.apply_versions(existing, customers, load_date, cut=True), "dim_customer")
+    load_customers(warehouse, sources.customers, load_date)
     for table, source, key in (
         ("dim_tariff", sources.tariffs, "tariff_key"),
         ("dim_location", sources.locations, "location_key"),
@@ -141,6 +138,31 @@ def load_dimensions(
         warehouse.overwrite(dimensions.overwrite_by_key(warehouse.read(table), source, key), table)
 
 
+def load_customers(warehouse: Warehouse, delivered: DataFrame, load_date: date) -> list[int]:
+    """Bring the customer dimension up to date; returns the slices that were rewritten, which are those with new or changed customers.
+
+    The comparison reads the dimension by its buckets and shuffles the delivery only. What changed is written once; a delivery without
+    changes leaves the table as it is.
+    """
+    existing = warehouse.read_clustered("dim_customer")
+    broken = dimensions.ambiguous_entities(existing).limit(1).collect()
+    if broken:
+        raise ValueError(f"customer {broken[0].customer_id} has several current versions")
+    newest = "created_at" if "created_at" in delivered.columns else None
+    chosen = delivered.where("customer_id is not null").select("customer_id", *dimensions.CUSTOMER_ATTRIBUTES, *([newest] if newest else []))
+    customers = dimensions.one_per_entity(chosen, newest_by=newest)
+    changes = materialize(dimensions.version_changes(existing, customers), "changes")
+    # At most one row for each slice of the table.
+    sizes = changes.groupBy(warehouse.snapshots("dim_customer").slice_of().alias("slice")).count().collect()
+    slices = sorted(x["slice"] for x in sizes)
+    if slices:
+        last = warehouse.last_key("dim_customer")
+        part = warehouse.read_clustered("dim_customer", slices)
+        renewed = dimensions.apply_changes(part, changes, load_date, last)
+        warehouse.replace_slices(renewed, "dim_customer", slices, last + sum(x["count"] for x in sizes))
+    return slices
+
+
 def load_fact(warehouse: Warehouse, start: date, end: date) -> None:
     """Roll up the valid staged rows and make them the contents of the window's days.
 

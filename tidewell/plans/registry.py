@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidewell.functions.calendar import time_key
 from tidewell.functions.measures import money, rows
 from tidewell.operators import dedup, dimensions, intervals, rollup, validate
-from tidewell.operators.keys import number_sorted
+from tidewell.operators.keys import next_after, number_sorted
 from tidewell.operators.rules import check_references, check_rows, check_total, summarize
 from tidewell.plans import checks, load_run, marts, reports
 from tidewell.plans.fixture_tables import BOUNDS, HORIZON, SECOND_LOAD, STAGE_DATE, WINDOW, FixtureTables
+from tidewell.session import materialize
 from tidewell.sources.files import read_parquet
 from tidewell.sources.tables import query
 
@@ -69,6 +70,13 @@ def _tariff_change(t: FixtureTables) -> DataFrame:
     return dimensions.overwrite_by_key(t["dim_tariff"], source, "tariff_key")
 
 
+def _changes_applied(t: FixtureTables) -> DataFrame:
+    """The second customer load by its changes alone, as the window load does it for the slices they touch."""
+    existing = t["dim_customer_initial"]
+    changes = materialize(dimensions.version_changes(existing, t["customer_day2"]), "changes")
+    return dimensions.apply_changes(existing, changes, SECOND_LOAD, next_after(existing, "customer_key"))
+
+
 def _fact_with_keys(t: FixtureTables) -> DataFrame:
     return number_sorted(t["fact_usage_events"], rollup_order(), "usage_event_key").select(*FACT_COLUMNS)
 
@@ -150,6 +158,7 @@ def queries() -> dict[str, Query]:
         ),
         "scd2_initial": lambda t: t["dim_customer_initial"],
         "scd2_apply": lambda t: t["dim_customer"],
+        "scd2_apply_changes": _changes_applied,
         "scd2_activity": lambda t: dimensions.version_activity(t["dim_customer_initial"], t["customer_day2"]),
         "scd2_multi_current": lambda t: dimensions.ambiguous_entities(t["customer_history"]),
         # fact
@@ -181,6 +190,7 @@ def queries() -> dict[str, Query]:
         "constraint_suite": checks.constraint_suite,
         "constraint_suite_dwh": lambda t: checks.constraint_suite(t.keep("dim_customer"), checks.WAREHOUSE_CONSTRAINTS),
         "fk_suite": checks.fk_suite,
+        "ri_by_key": checks.references_by_key,
         "dq_summary": lambda t: checks.dq_summary(_suite_tables(t), BOUNDS),
         "br_summary": lambda t: checks.br_summary(t.keep("dim_customer", "fact_usage_events"), BOUNDS),
         "check_suite": lambda t: checks.run_checks(_suite_tables(t), checks.ALL, BOUNDS),

@@ -98,8 +98,10 @@ _EVENT_DAY = "year(event_datetime) * 10000 + month(event_datetime) * 100 + day(e
 
 # Tables of the size of the facts are kept in day partitions (yyyymmdd); how the day follows from the other columns.
 DAYS = {"cdr": _EVENT_DAY, "stg_cdr": _EVENT_DAY, "fact_usage_events": "cast(floor(time_key / 100) as int)"}
-# Their surrogate keys, for which the table keeps the last one given out.
-KEYS = {"fact_usage_events": "usage_event_key"}
+# Tables that others refer to and that grow with the customers are kept in hash buckets of this column.
+BUCKETS = {"customer": "customer_id", "contract": "contract_id", "invoice": "invoice_id", "dim_customer": "customer_id"}
+# Surrogate keys, for which the table keeps the last one given out.
+KEYS = {"fact_usage_events": "usage_event_key", "dim_customer": "customer_key"}
 
 
 def columns_of(table: str) -> dict[str, tuple[str, str | None]]:

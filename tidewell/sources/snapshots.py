@@ -138,17 +138,21 @@ class SnapshotTable:
         version = uuid.uuid4().hex
         rows = df.select(*self.schema.names).withColumn(VERSION, F.lit(version))
         try:
-            rows.write.mode("append").partitionBy(DAY, VERSION).parquet(self.data)
-            written = {x.split("/")[-2]: version for x in self.storage.matching(f"{self.data}/{DAY}=*/{VERSION}={version}")}
+            self._write(rows)
+            written = {x.split("/")[-2]: version for x in self.storage.matching(f"{self.data}/*/{VERSION}={version}")}
             new = Commit(now.number, merge(now, written), now.marks | (marks or {}))
             self._publish(new)
         except BaseException:
-            for path in self.storage.matching(f"{self.data}/{DAY}=*/{VERSION}={version}"):
+            for path in self.storage.matching(f"{self.data}/*/{VERSION}={version}"):
                 self.storage.delete(path)
             raise
         self._clean()
         return Commit(new.number + 1, new.folders, new.marks)
 
+    def _write(self, rows: DataFrame) -> None:
+        """Add files below a folder of their version in each part of the table."""
+        rows.write.mode("append").partitionBy(DAY, VERSION).parquet(self.data)
+
     def _publish(self, commit: Commit) -> None:
         """Make ``commit`` the one after its number."""
         contents = json.dumps({"folders": commit.folders, "marks": commit.marks})
