@@ -13,7 +13,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidewell.operators.rollup import GRAIN, MEASURES
-from tidewell.plans import load_run, marts, reports
+from tidewell.plans import checks, load_run, marts, reports
 from tidewell.plans.checks import Bounds
 from tidewell.plans.fixture_tables import FixtureTables
 from tidewell.session import scratch_root
@@ -270,6 +270,17 @@ def test_several_current_versions_stop_the_load(warehouse):
     warehouse.overwrite(warehouse.spark.createDataFrame(*kept), "dim_customer")
 
 
+def test_constraints_of_columns_with_defaults(warehouse):
+    """The stored tables carry the columns that inserts may leave out; a null in them is reported."""
+    tables = dict(load_run.WarehouseTables(warehouse))
+    wanted = {name: rule for name, rule in checks.CONSTRAINTS.items() if name in checks.REQUIRED_DEFAULTS}
+    lines = {(x.table_name, x.constraint_name): x.violations for x in checks.constraint_suite(tables, wanted).collect()}
+    assert [lines[t, f"not null {c}"] for t, c in (("tariff", "valid_from"), ("customer", "created_at"), ("cdr", "created_at"))] == [0, 0, 0]
+    tables["tariff"] = tables["tariff"].withColumn("valid_from", F.expr("nullif(valid_from, date '2024-01-01')"))
+    lines = {x.constraint_name: x.violations for x in checks.constraint_suite(tables, {"tariff": wanted["tariff"]}).collect()}
+    assert lines["not null valid_from"] == warehouse.count("tariff") > 0
+
+
 def test_defaults_append_replace_and_counts(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path), "u_", buckets=4)
     house.create_all()
