@@ -11,6 +11,9 @@ leaves adaptive execution free to split hot keys of a join.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 import uuid
 from collections.abc import Iterable
 
@@ -61,7 +64,7 @@ class BucketTable(SnapshotTable):
 
     def _registered(self, commit: Commit) -> str:
         """The catalog table of a commit. Each step may be repeated, so one that was left half made is completed."""
-        name = self._table_of(commit.number)
+        name = self._table_of(commit)
         if self.spark.catalog.tableExists(name):
             marked = self.spark.sql(f"show tblproperties {name}").where(F.col("key") == _WHOLE)
             if not marked.isEmpty():
@@ -72,8 +75,20 @@ class BucketTable(SnapshotTable):
         self.spark.sql(f"alter table {name} set tblproperties ('{_WHOLE}' = 'true')")
         return name
 
-    def _table_of(self, number: int) -> str:
-        return f"{self.name}_c{number:06d}"
+    def _table_of(self, commit: Commit) -> str:
+        """Number and contents make the name, so an entry that another session's catalog kept can never stand for a later table's commit."""
+        named = hashlib.sha256(json.dumps([self.data, commit.folders], sort_keys=True).encode()).hexdigest()[:12]
+        return f"{self.name}_c{commit.number:06d}_{named}"
+
+    def _forget(self, before: int | None = None) -> None:
+        """Drop the catalog tables of all commits, or of those before a number."""
+        schema, _, table = self.name.rpartition(".")
+        if not self.spark.catalog.databaseExists(schema):
+            return
+        for row in self.spark.sql(f"show tables in {schema} like '{table}_c*'").collect():
+            found = re.fullmatch(rf"{re.escape(table)}_c(\d+)_[0-9a-f]{{12}}", row.tableName)
+            if found and (before is None or int(found[1]) < before):
+                self.spark.sql(f"drop table if exists {schema}.{row.tableName}")
 
     # writing
 
@@ -82,8 +97,7 @@ class BucketTable(SnapshotTable):
         self._publish(Commit(marks={_COUNT: self._wanted}))
 
     def drop(self) -> None:
-        for number in self._numbers():
-            self.spark.sql(f"drop table if exists {self._table_of(number)}")
+        self._forget()
         super().drop()
 
     def replace_slices(self, df: DataFrame, slices: Iterable[int], marks: dict[str, int] | None = None) -> Commit:
@@ -112,7 +126,5 @@ class BucketTable(SnapshotTable):
             self.spark.sql(f"drop table {draft}")  # an external table: its files stay
 
     def _clean(self) -> None:
-        before = self._numbers()
         super()._clean()
-        for number in before[: -self.versions]:
-            self.spark.sql(f"drop table if exists {self._table_of(number)}")
+        self._forget(min(self._numbers()))
