@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -86,6 +87,66 @@ def test_prefix_encoding_of_documents(documents, awkward, no_rows):
     assert prefix_bpe.digests(prefix_bpe.decode(prefix_bpe.encode(no_rows, WORDS), WORDS)).collect() == []
 
 
+class Tasks:
+    """Stands for a table, to take hold of the function that an operator maps over its batches."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, task, _):  # noqa: N802
+        return task
+
+
+def test_decoding_of_batches():
+    """Null, empty and cut lists, every token and many ids, without a Python object for each id."""
+    library = Tokenizer.from_file(WORDS)
+    every = list(range(library.get_vocab_size()))
+    lists = [None, [], every, [320], None, every[::-1], *[[x, x] for x in every[:300]], []]
+    ids = pa.array([[1, 2], *lists], pa.list_(pa.int32())).slice(1)
+    task = prefix_bpe.decode(Tasks(), WORDS)
+
+    def decoded(numbers):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(numbers)), pa.int64()), numbers], ["doc_id", "ids"])
+        return [text for part in task(iter([batch])) for text in part.column("decoded").to_pylist()]
+
+    assert decoded(ids) == [library.decode(x or [], skip_special_tokens=False) for x in lists]
+    many = pa.array([every * 10], pa.list_(pa.int32()))
+    tracemalloc.start()
+    try:
+        for part in task(iter([pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), many], ["doc_id", "ids"])])):
+            assert len(part) == 1
+        assert tracemalloc.get_traced_memory()[1] < 8 * len(every) * 10
+    finally:
+        tracemalloc.stop()
+
+
+def test_prefix_encoding_tries_a_pair_once(monkeypatch):
+    """Also where the words are new and only their tokens were met before."""
+    ours, calls = prefix_bpe.PrefixBPE(WORDS), []
+    compatible = ours.compatible
+    monkeypatch.setattr(ours, "compatible", lambda *pair: calls.append(pair) or compatible(*pair))
+    text = "qzxlorentine vorbleyton grauwkelste unterplonkert " * 3
+    first = ours.encode(text)
+    assert calls and len(calls) == len(set(calls))
+    ours.memo.clear()
+    calls.clear()
+    assert ours.encode(text) == first == np.array(Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+    assert not calls
+
+
+def test_prefix_encoding_at_its_limits(monkeypatch):
+    """Words and pairs are given up at small limits, and white space of any kind ends words."""
+    for limit in ("MEMO_ENTRIES", "MEMO_WORD", "TRIED_PAIRS"):
+        monkeypatch.setattr(prefix_bpe, limit, 3)
+    library, ours = Tokenizer.from_file(WORDS), prefix_bpe.PrefixBPE(WORDS)
+    spaces = [chr(x) for x in (9, 10, 11, 12, 13, 0x1C, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x180E, 0x2000, 0x2007, 0x200B, 0x2028, 0x202F, 0x205F, 0x3000, 0xFEFF)]
+    texts = [f"Straße{a}{b}it's{b}ΣΑΣ{a}12!{b}\u0301e\u0301" for a in spaces for b in spaces]
+    for _ in range(2):
+        found = [as_ids(x) for x in ours.encode_all(texts)]
+        assert found == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert not ours.memo.long and len(ours.memo) <= 3
+
+
 def test_bits():
     draw = np.random.default_rng(1)
     for width in (1, 3, 7, 8, 13, 16, 17, 31):

@@ -17,13 +17,15 @@ ignored, whatever their names. Special tokens written in a text get their ids, a
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +46,54 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+def read_file(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def token_strings(parts: dict) -> list[str]:
+    """The token of each id; ids that a file leaves out are empty."""
+    numbers = parts["model"]["vocab"] | {x["content"]: x["id"] for x in parts["added_tokens"]}
+    tokens = [""] * (max(numbers.values()) + 1)
+    for token, number in numbers.items():
+        tokens[number] = token
+    return tokens
+
+
+class Memo(dict):
+    """Ids of words as little-endian 32-bit integers, made when a word is first asked for."""
+
+    def __init__(self, word_ids: Callable[[str], list[int]]) -> None:
+        self.word_ids = word_ids
+        self.long: list[str] = []
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.word_ids(word)
+        self[word] = packed = struct.pack(f"<{len(ids)}i", *ids)
+        if len(word) > MEMO_WORD:
+            self.long.append(word)
+        return packed
+
+    def trim(self) -> None:
+        """Keep no long words, and not too many others."""
+        for word in self.long:
+            del self[word]
+        self.long.clear()
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+
+
 class PrefixBPE:
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
+        parts = read_file(path)
         model, steps = parts["model"], (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         kinds = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers") or []]
         if kinds != ["NFC", "Replace", "Lowercase"] or steps[0].get("type") != "Split" or not model.get("end_of_word_suffix"):
             raise ValueError(f"{path}: this encoder takes lower-cased words with a word-end suffix")
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
-        self.spaces = regex.compile(r"\p{White_Space}+")
         vocabulary: dict[str, int] = model["vocab"]
         added = {x["content"]: x["id"] for x in parts["added_tokens"]}
-        self.tokens = [""] * (max([*vocabulary.values(), *added.values()]) + 1)
-        for token, number in (vocabulary | added).items():
-            self.tokens[number] = token
+        self.tokens = token_strings(parts)
         self.added = added
         self.specials = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
 
@@ -76,7 +111,8 @@ class PrefixBPE:
                 symbols[number] = symbols[pair[0]] + symbols[pair[1]]
         self.right_edge: dict[int, list[tuple[int, int]]] = {}
         self.left_edge: dict[int, list[tuple[int, int]]] = {}
-        self.tried: dict[tuple[int, int], bool] = {}
+        self.tried: dict[int, dict[int, bool]] = {}
+        self.n_tried = 0
         whole = {number for number in symbols if number not in self.built}
         for number, (_, left, right) in self.built.items():
             if left in whole and right in whole and self._apart(left, right, (left, right)):
@@ -86,7 +122,7 @@ class PrefixBPE:
         for number in sorted(whole):
             self.automaton.add_word(symbols[number], (len(symbols[number]), number))
         self.automaton.make_automaton()
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self.word_ids)
 
     def _edge(self, token: int, side: int, held: dict) -> list[tuple[int, int]]:
         """Pieces at one edge of a token, each with the rank of the merge that ends it."""
@@ -110,35 +146,42 @@ class PrefixBPE:
         return True
 
     def compatible(self, left: int, right: int) -> bool:
-        pair = (left, right)
-        known = self.tried.get(pair)
-        if known is None:
-            if len(self.tried) > TRIED_PAIRS:
-                self.tried.clear()
-            known = self.tried[pair] = self._apart(left, right)
+        """Try a pair that ``tried`` does not hold, and keep the result there."""
+        if self.n_tried > TRIED_PAIRS:
+            self.tried.clear()
+            self.n_tried = 0
+        self.n_tried += 1
+        known = self.tried.setdefault(left, {})[right] = self._apart(left, right)
         return known
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of one word of the text (already normalised)."""
         data = word.encode()
         symbols = data[:-1].decode("latin-1") + chr(256 + data[-1])
-        last = [-1] * (len(symbols) + 1)
-        size = [0] * (len(symbols) + 1)
+        last: list[int | None] = [None] * len(symbols)
+        size = [0] * len(symbols)
+        tried, nothing = self.tried, {}
         for end, (length, token) in self.automaton.iter(symbols):
-            if last[end + 1] < 0:
-                start = end + 1 - length
-                if start == 0 or (last[start] >= 0 and self.compatible(last[start], token)):
-                    last[end + 1], size[end + 1] = token, length
-        ids, at = [], len(symbols)
-        while at:
+            if last[end] is None:
+                before = end - length
+                if before >= 0:
+                    left = last[before]
+                    if left is None:
+                        continue
+                    fits = tried.get(left, nothing).get(token)
+                    if not (self.compatible(left, token) if fits is None else fits):
+                        continue
+                last[end], size[end] = token, length
+        ids, at = [], len(symbols) - 1
+        while at >= 0:
             ids.append(last[at])
             at -= size[at]
         return ids[::-1]
 
     def _words(self, text: str) -> list[str]:
         if not text.isascii():
+            # That the normaliser writes each white space as one blank changes no word, since no word holds any.
             text = unicodedata.normalize("NFC", text)
-            text = self.spaces.sub(" ", text)
             # Letter by letter: a capital sigma at the end of a word gets no form of its own.
             return self.pattern.findall("".join(map(str.lower, text)) if "Σ" in text else text.lower())
         return self.pattern.findall(text.lower())
@@ -155,23 +198,14 @@ class PrefixBPE:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; every distinct word is encoded once."""
-        cut = [self._parts(text) for text in texts]
-        words: set[str] = set()
-        for parts in cut:
-            for part in parts:
-                if not isinstance(part, int):
-                    words.update(part)
-        memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        for word in words.difference(memo):
-            memo[word] = np.array(self.word_ids(word), "<i4").tobytes()
-        known = {x: memo[x] for x in words}
-        for word in [x for x in words if len(x) > MEMO_WORD]:
-            del memo[word]
-        find = known.__getitem__
+        find = self.memo.__getitem__
         number = lambda x: np.array([x], "<i4").tobytes()
-        return [b"".join([number(part) if isinstance(part, int) else b"".join(map(find, part)) for part in parts]) for parts in cut]
+        out = []
+        for text in texts:
+            parts = self._parts(text)
+            out.append(b"".join([number(part) if isinstance(part, int) else b"".join(map(find, part)) for part in parts]))
+        self.memo.trim()
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -187,6 +221,19 @@ def model(path: str) -> PrefixBPE:
     return PrefixBPE(path)
 
 
+@cache
+def tokens(path: str) -> pa.Array:
+    """Token strings by id, which is all that decoding takes of a file."""
+    return pa.array(token_strings(read_file(path)), pa.large_string())
+
+
+def decode_all(names: pa.Array, ids: pa.ListArray) -> pa.Array:
+    """Decoded text of each list of ids, as :meth:`PrefixBPE.decode` gives it; null lists give the empty text."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+    lists = pa.LargeListArray.from_arrays(np.append(0, ends), names.take(ids.flatten()))
+    return pc.binary_join(lists, pa.scalar(" ", names.type)).cast(pa.string())
+
+
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of each document."""
 
@@ -209,12 +256,12 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``encoded`` with the decoded text of ``ids`` as column ``decoded``; null ids give the empty text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = model(tokenizer)
+        names = tokens(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                texts = [held.decode(ids or []) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+                texts = decode_all(names, part.column("ids"))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), texts], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id long, ids array<int>, decoded string")
 
